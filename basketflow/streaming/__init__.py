@@ -1,0 +1 @@
+"""Deliberately empty: every source is a bounded table, so there is no stream operator to offer."""
