@@ -15,18 +15,21 @@ def require_utc(spark: SparkSession) -> None:
 
 def parse_timestamp(text: Column) -> Column:
     """Timestamp of a 14-digit text, null for anything else (impossible dates and year 0 included)."""
-    well_formed = text.rlike("^[0-9]{14}$") & ~text.startswith("0000")
+    well_formed = text.rlike("^(?!0000)[0-9]{14}$")
     return F.when(well_formed, F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT)))
 
 
+# First hour of each part of the day; night goes on to the first of these.
+_PERIOD_STARTS = {6: "Morning", 12: "Afternoon", 18: "Evening", 22: "Night"}
+
+
 def day_period(hour: Column) -> Column:
-    """Part of the day; each part starts at its first hour, night wraps round midnight."""
-    starts = [(22, "Night"), (18, "Evening"), (12, "Afternoon"), (6, "Morning"), (0, "Night")]
-    first, *rest = [(hour >= start, label) for start, label in starts]
-    label = F.when(*first)
-    for condition in rest:
-        label = label.when(*condition)
-    return label
+    """Part of the day, looked up by hour so that ``hour`` is evaluated once even inside a pushed-down filter."""
+    labels, label = [], "Night"
+    for h in range(24):
+        label = _PERIOD_STARTS.get(h, label)
+        labels.append(label)
+    return F.get(F.array(*map(F.lit, labels)), hour)
 
 
 def time_features(moment: Column) -> list[Column]:
@@ -42,7 +45,14 @@ def time_features(moment: Column) -> list[Column]:
     ]
 
 
+def with_transaction_date(transactions: DataFrame) -> DataFrame:
+    return transactions.withColumn("transaction_date", parse_timestamp(F.col("timestamp")))
+
+
+def with_time_features(dated: DataFrame) -> DataFrame:
+    return dated.select("*", *time_features(F.col("transaction_date")))
+
+
 def with_calendar(transactions: DataFrame) -> DataFrame:
     """Add ``transaction_date`` and the calendar columns."""
-    dated = transactions.withColumn("transaction_date", parse_timestamp(F.col("timestamp")))
-    return dated.select("*", *time_features(F.col("transaction_date")))
+    return with_time_features(with_transaction_date(transactions))

@@ -52,11 +52,8 @@ def rows_before_by_sort(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     pieces = stored.groupBy(*keys, piece).agg(F.min(slot).alias(first), F.count("*").alias(size))
     earlier = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(*keys, piece, first, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(offset))
-    return (
-        stored.join(offsets, [*keys, piece])
-        .withColumn(name, F.col(offset) + F.col(slot) - F.col(first))
-        .drop(slot, piece, first, offset)
-    )
+    position = F.col(offset) + F.col(slot) - F.col(first)
+    return stored.join(offsets, [*keys, piece]).select(*df.columns, position.alias(name))
 
 
 def with_rank(
@@ -70,8 +67,8 @@ def with_rank(
     if oversized_groups(sizes, [group], "n", max_group_rows) is None:
         return df.withColumn(name, F.rank().over(Window.partitionBy(group).orderBy(F.desc(value))))
     # The position of the first of several equal values is the rank of all of them.
-    position = f"__{name}_position"
-    placed = rows_before_by_sort(df.withColumn("__group", F.coalesce(F.concat(F.lit("key "), group), F.lit("none"))),
-                                 ["__group"], [F.desc(value)], position)
-    firsts = placed.groupBy("__group", value).agg((F.min(position) + 1).cast("int").alias(name))
-    return placed.join(firsts, ["__group", value]).drop("__group", position)
+    key, position = "__group", "__position"
+    keyed = df.withColumn(key, F.coalesce(F.concat(F.lit("key "), F.col(group)), F.lit("none")))
+    placed = rows_before_by_sort(keyed, [key], [F.desc(value)], position)
+    ranks = placed.groupBy(key, value).agg((F.min(position) + 1).cast("int").alias(name))
+    return placed.join(ranks, [key, value]).select(*df.columns, name)

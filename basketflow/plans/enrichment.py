@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.functions.calendar import require_utc, with_calendar
+from basketflow.functions.calendar import require_utc, with_time_features, with_transaction_date
 from basketflow.functions.labels import age_group
 from basketflow.operators.history import with_history
 from basketflow.operators.joins import broadcast_if_small, lookup
@@ -16,9 +16,13 @@ from basketflow.settings import Scoring
 def scored_transactions(
     transactions: DataFrame, scoring: Scoring = Scoring(), max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Calendar, history and score; needs no dimension."""
+    """History, calendar and score; needs no dimension."""
+    return with_score(with_time_features(_with_past(transactions, scoring, max_group_rows)), scoring)
+
+
+def _with_past(transactions: DataFrame, scoring: Scoring, max_group_rows: int) -> DataFrame:
     require_utc(transactions.sparkSession)
-    return with_score(with_history(with_calendar(transactions), scoring, max_group_rows), scoring)
+    return with_history(with_transaction_date(transactions), scoring, max_group_rows)
 
 
 def with_dimensions(
@@ -38,10 +42,14 @@ def wide_transactions(
     merchants: DataFrame,
     scoring: Scoring = Scoring(),
     broadcast: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Enriched columns plus the score evidence. All four inputs hold valid rows only."""
-    # The history comes first: its shuffle then carries the nine transaction columns, not the wide row.
-    return with_dimensions(scored_transactions(transactions, scoring), users, products, merchants, broadcast)
+    # Shuffles come first and widest last: the history moves the transaction's own columns only, and whatever
+    # one row can compute by itself (calendar, score) is added after the last join.
+    past = _with_past(transactions, scoring, max_group_rows)
+    joined = with_dimensions(past, users, products, merchants, broadcast)
+    return with_score(with_time_features(joined), scoring)
 
 
 def enriched(wide: DataFrame) -> DataFrame:
