@@ -1,10 +1,11 @@
 """What each transaction's user did before: rank, totals, sliding sums, gaps.
 
-A user (or the rows without a user, which count as one) may hold a large part of the table, so no window
-here runs over a user's transactions. They are first added up per user and second. After that a window
-over one user's day has at most 86,400 rows and a window over one user's days at most one row per day of
-the calendar, whatever the number of transactions. A sliding sum of k days is the current day so far, plus
-k-1 whole days, plus the end of day -k; its cost does not depend on how many rows the frame holds.
+Users with few transactions are windowed as a whole. A busy user (and the rows without a user count as one)
+may hold a large part of the table, so a window over all its transactions is out of the question. Those are
+first added up per second and then windowed by day: a day has at most 86,400 seconds and a user at most one
+row per day of the calendar, whatever the number of transactions. A sliding sum of k days is then the current
+day so far, plus k-1 whole days, plus the end of day -k; its cost does not depend on how many rows the frame
+holds.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketflow.functions.rounding import two_decimals
+from basketflow.operators.joins import MAX_BROADCAST_ROWS
 from basketflow.operators.ordering import (
     MAX_GROUP_ROWS,
     oversized_groups,
@@ -21,8 +23,11 @@ from basketflow.operators.ordering import (
 from basketflow.settings import Scoring
 from basketflow.shared import as_table
 
+# Transactions up to which a user is windowed as a whole; a sliding frame then never holds more rows than this.
+MAX_USER_ROWS = 1_000
+
 DAY = 86_400
-# Stands for a missing date: far before any real second, so such rows sort first and meet no frame.
+# Stands for a missing date: far before any real second, so such rows sort first and meet no other frame.
 UNDATED = -(10**15)
 
 SECOND = ["user_key", "event_sec"]
@@ -34,6 +39,10 @@ def _day(second: Column) -> Column:
     return F.floor(second / DAY)
 
 
+def _dated(second: Column) -> Column:
+    return F.when(second != UNDATED, second)
+
+
 def with_user_second(transactions: DataFrame) -> DataFrame:
     """Add the grouping keys, neither of which is ever null."""
     return transactions.withColumns(
@@ -44,6 +53,56 @@ def with_user_second(transactions: DataFrame) -> DataFrame:
     )
 
 
+# Both ways below add the same columns: n_earlier, previous_sec, sliding_amount, active_days, user_rows, user_mean.
+
+
+def past_by_user(keyed: DataFrame, window_days: int) -> DataFrame:
+    """For users with few transactions: one shuffle, one sort."""
+    user = Window.partitionBy("user_key")
+    timeline = user.orderBy("event_sec", "transaction_id")
+    frame = user.orderBy("event_sec").rangeBetween(-window_days * DAY, 0)
+    return keyed.withColumns(
+        {
+            "n_earlier": F.row_number().over(timeline).cast("long") - 1,
+            "previous_sec": _dated(F.lag("event_sec").over(timeline)),
+            "sliding_amount": F.sum("amount").over(frame),
+            "active_days": F.size(F.collect_set(_day(_dated(F.col("event_sec")))).over(frame)),
+            "user_rows": F.count("*").over(user),
+            "user_mean": F.avg("amount").over(user),
+        }
+    )
+
+
+def past_by_day(keyed: DataFrame, window_days: int, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """For users with any number of transactions."""
+    seconds = as_table(user_seconds(keyed), "user_seconds")
+    measures = second_measures(seconds, window_days)
+
+    by_id = [F.col("transaction_id")]
+    big = oversized_groups(seconds, SECOND, "n", max_group_rows)
+    if big is None:
+        placed = rows_before(keyed, SECOND, by_id, "n_same_second").join(measures, SECOND)
+    else:
+        # Seconds that one user fills with too many rows, for instance all those without a date.
+        usual = rows_before(keyed.join(F.broadcast(big), SECOND, "left_anti"), SECOND, by_id, "n_same_second")
+        crowded = rows_before_by_sort(
+            keyed.join(F.broadcast(big), SECOND, "left_semi"), SECOND, by_id, "n_same_second"
+        )
+        crowded_measures = measures.join(F.broadcast(big), SECOND, "left_semi")
+        placed = usual.join(measures, SECOND).unionByName(crowded.join(F.broadcast(crowded_measures), SECOND))
+
+    previous = F.when(F.col("n_same_second") > 0, F.col("event_sec")).otherwise(F.col("second_before"))
+    return placed.select(
+        *keyed.columns,
+        (F.col("n_before") + F.col("n_same_second")).alias("n_earlier"),
+        _dated(previous).alias("previous_sec"),
+        "sliding_amount",
+        "active_days",
+        "user_rows",
+        "user_mean",
+    )
+
+
 def user_seconds(keyed: DataFrame) -> DataFrame:
     """Number and amount of transactions per user and second."""
     return keyed.groupBy(*SECOND).agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
@@ -109,54 +168,54 @@ def second_measures(seconds: DataFrame, window_days: int) -> DataFrame:
         .where("arrives")
     )
     in_edge = F.coalesce(F.col("edge_last_sec") >= F.col("event_sec") - span, F.lit(False))
-    previous = F.coalesce("sec_in_day", "last_sec_before_day")
     return in_day.join(day_measures(seconds, window_days), ["user_key", "day"]).select(
         *SECOND,
         (F.col("n_before_day") + F.col("n_before_in_day")).alias("n_before"),
-        F.when(previous != UNDATED, previous).alias("previous_sec"),
+        F.coalesce("sec_in_day", "last_sec_before_day").alias("second_before"),
         (F.col("day_so_far") + F.col("whole_amount") + F.col("not_yet_left")).alias("sliding_amount"),
         F.when(F.col("event_sec") == UNDATED, 0)
         .otherwise(1 + F.col("whole_active") + in_edge.cast("int"))
+        .cast("int")
         .alias("active_days"),
         "user_rows",
         (F.col("user_amount") / F.col("user_rows")).alias("user_mean"),
     )
 
 
+def with_past(keyed: DataFrame, window_days: int, max_user_rows: int, max_group_rows: int) -> DataFrame:
+    """Each user by the way that suits the number of its transactions."""
+    sizes = keyed.groupBy("user_key").agg(F.count("*").alias("n"))
+    busy = as_table(sizes.where(F.col("n") > max_user_rows).select("user_key"), "busy_users")
+    count = busy.count()
+    if count == 0:
+        return past_by_user(keyed, window_days)
+    if count > MAX_BROADCAST_ROWS:
+        return past_by_day(keyed, window_days, max_group_rows)
+    few = keyed.join(F.broadcast(busy), "user_key", "left_anti")
+    many = keyed.join(F.broadcast(busy), "user_key", "left_semi")
+    return past_by_user(few, window_days).unionByName(past_by_day(many, window_days, max_group_rows))
+
+
 def with_history(
-    transactions: DataFrame, scoring: Scoring = Scoring(), max_group_rows: int = MAX_GROUP_ROWS
+    transactions: DataFrame,
+    scoring: Scoring = Scoring(),
+    max_user_rows: int = MAX_USER_ROWS,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add the per-user columns to transactions that have a ``transaction_date`` (null allowed).
 
     Rank, previous purchase and means follow (transaction_date, transaction_id), missing dates first.
     ``user_mean`` and ``delay_minutes`` are left unrounded for scoring.
     """
-    keyed = with_user_second(transactions)
-    seconds = as_table(user_seconds(keyed), "user_seconds")
-    measures = second_measures(seconds, scoring.window_days)
-
-    by_id = [F.col("transaction_id")]
-    big = oversized_groups(seconds, SECOND, "n", max_group_rows)
-    if big is None:
-        placed = rows_before(keyed, SECOND, by_id, "n_same_second").join(measures, SECOND)
-    else:
-        # Seconds that one user fills with too many rows, for instance all those without a date.
-        usual = rows_before(keyed.join(F.broadcast(big), SECOND, "left_anti"), SECOND, by_id, "n_same_second")
-        crowded = rows_before_by_sort(
-            keyed.join(F.broadcast(big), SECOND, "left_semi"), SECOND, by_id, "n_same_second"
-        )
-        crowded_measures = measures.join(F.broadcast(big), SECOND, "left_semi")
-        placed = usual.join(measures, SECOND).unionByName(crowded.join(F.broadcast(crowded_measures), SECOND))
-
-    dated = F.when(F.col("event_sec") != UNDATED, F.col("event_sec"))
-    before = F.when(F.col("n_same_second") > 0, dated).otherwise(F.col("previous_sec"))
-    return placed.withColumns(
-        {
-            "transaction_rank": F.col("n_before") + F.col("n_same_second") + 1,
-            "total_transactions_user": F.col("user_rows"),
-            "montant_cumule_7j": two_decimals(F.col("sliding_amount")),
-            "is_active_user": (F.col("active_days") >= scoring.active_days).cast("int"),
-            "jours_depuis_achat_precedent": (_day(dated) - _day(before)).cast("int"),
-            "delay_minutes": (dated - before) / F.lit(60.0),
-        }
-    ).drop(*SECOND, "n_same_second", "n_before", "previous_sec", "sliding_amount", "active_days", "user_rows")
+    past = with_past(with_user_second(transactions), scoring.window_days, max_user_rows, max_group_rows)
+    now, before = _dated(F.col("event_sec")), F.col("previous_sec")
+    return past.select(
+        *transactions.columns,
+        (F.col("n_earlier") + 1).alias("transaction_rank"),
+        F.col("user_rows").alias("total_transactions_user"),
+        two_decimals(F.col("sliding_amount")).alias("montant_cumule_7j"),
+        (F.col("active_days") >= scoring.active_days).cast("int").alias("is_active_user"),
+        (_day(now) - _day(before)).cast("int").alias("jours_depuis_achat_precedent"),
+        ((now - before) / F.lit(60.0)).alias("delay_minutes"),
+        "user_mean",
+    )

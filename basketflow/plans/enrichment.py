@@ -7,22 +7,19 @@ from basketflow.functions.calendar import require_utc, with_time_features, with_
 from basketflow.functions.labels import age_group
 from basketflow.operators.history import with_history
 from basketflow.operators.joins import broadcast_if_small, lookup
-from basketflow.operators.ordering import MAX_GROUP_ROWS
 from basketflow.operators.suspicion import with_score
 from basketflow.schemas import ENRICHED_COLUMNS, MERCHANT_ATTRIBUTES, PRODUCT_ATTRIBUTES, USER_ATTRIBUTES
 from basketflow.settings import Scoring
 
 
-def scored_transactions(
-    transactions: DataFrame, scoring: Scoring = Scoring(), max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def scored_transactions(transactions: DataFrame, scoring: Scoring = Scoring()) -> DataFrame:
     """History, calendar and score; needs no dimension."""
-    return with_score(with_time_features(_with_past(transactions, scoring, max_group_rows)), scoring)
+    return with_score(with_time_features(_with_history(transactions, scoring)), scoring)
 
 
-def _with_past(transactions: DataFrame, scoring: Scoring, max_group_rows: int) -> DataFrame:
+def _with_history(transactions: DataFrame, scoring: Scoring) -> DataFrame:
     require_utc(transactions.sparkSession)
-    return with_history(with_transaction_date(transactions), scoring, max_group_rows)
+    return with_history(with_transaction_date(transactions), scoring)
 
 
 def with_dimensions(
@@ -42,13 +39,12 @@ def wide_transactions(
     merchants: DataFrame,
     scoring: Scoring = Scoring(),
     broadcast: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Enriched columns plus the score evidence. All four inputs hold valid rows only."""
     # Shuffles come first and widest last: the history moves the transaction's own columns only, and whatever
     # one row can compute by itself (calendar, score) is added after the last join.
-    past = _with_past(transactions, scoring, max_group_rows)
-    joined = with_dimensions(past, users, products, merchants, broadcast)
+    history = _with_history(transactions, scoring)
+    joined = with_dimensions(history, users, products, merchants, broadcast)
     return with_score(with_time_features(joined), scoring)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketflow.functions.calendar import with_transaction_date
+from basketflow.operators import history
 from basketflow.operators.history import with_history
 from basketflow.settings import Scoring
 from tests import builders
@@ -38,7 +39,7 @@ def plain_windows(dated: DataFrame, scoring: Scoring) -> DataFrame:
         (F.size(F.collect_set(date).over(frame)) >= scoring.active_days).cast("int"),
         F.datediff(date, F.to_date(F.lag("transaction_date").over(ordered))),
         (second - F.lag(second).over(ordered)) / F.lit(60.0),
-        F.round(F.avg("amount").over(user), 6),
+        F.avg("amount").over(user),
     ).toDF("transaction_id", *COLUMNS)
 
 
@@ -60,41 +61,56 @@ def dirty_transactions(spark, seed: int, rows: int = 600) -> DataFrame:
     return with_transaction_date(builders.transactions(spark, *made))
 
 
+def by_transaction(df: DataFrame) -> dict:
+    """The columns per transaction; the unrounded mean up to the last bits, which depend on the order of adding."""
+    found = by_key(df, "transaction_id", *COLUMNS)
+    return {key: (*row[:-1], pytest.approx(row[-1], rel=1e-12)) for key, row in found.items()}
+
+
 def found_columns(dated: DataFrame, scoring: Scoring, **options) -> dict:
-    history = with_history(dated, scoring, **options).withColumn("user_mean", F.round("user_mean", 6))
-    return by_key(history, "transaction_id", *COLUMNS)
+    return by_key(with_history(dated, scoring, **options), "transaction_id", *COLUMNS)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+# all users as a whole, busy ones by day, all by day
+@pytest.mark.parametrize("max_user_rows", [10**6, 50, 0])
 @pytest.mark.parametrize("days", [1, 2, 7, 30])
-def test_equals_plain_windows(spark, seed, days):
-    dated = dirty_transactions(spark, seed)
+def test_equals_plain_windows(spark, max_user_rows, days):
+    dated = dirty_transactions(spark, seed=days)
     scoring = Scoring(window_days=days, active_days=min(days, 3))
-    assert found_columns(dated, scoring) == by_key(plain_windows(dated, scoring), "transaction_id", *COLUMNS)
+    expected = by_transaction(plain_windows(dated, scoring))
+    assert found_columns(dated, scoring, max_user_rows=max_user_rows) == expected
+
+
+def test_too_many_busy_users_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(history, "MAX_BROADCAST_ROWS", 1)
+    dated = dirty_transactions(spark, seed=9)
+    expected = by_transaction(plain_windows(dated, Scoring()))
+    assert found_columns(dated, Scoring(), max_user_rows=5) == expected
 
 
 @pytest.mark.parametrize("max_group_rows", [1, 5])
 def test_crowded_seconds_go_through_the_sort(spark, max_group_rows):
     dated = dirty_transactions(spark, seed=3)
     scoring = Scoring()
-    expected = by_key(plain_windows(dated, scoring), "transaction_id", *COLUMNS)
-    assert found_columns(dated, scoring, max_group_rows=max_group_rows) == expected
+    expected = by_transaction(plain_windows(dated, scoring))
+    assert found_columns(dated, scoring, max_user_rows=20, max_group_rows=max_group_rows) == expected
 
 
 def test_one_user_and_second_holds_everything(spark):
     rows = [{"transaction_id": f"T{i:05}", "user_id": None} for i in range(3000)]
     dated = with_transaction_date(builders.transactions(spark, *rows)).repartition(7)
-    found = found_columns(dated, Scoring(), max_group_rows=100)
+    found = found_columns(dated, Scoring(), max_user_rows=1000, max_group_rows=100)
     assert {key: value[0] for key, value in found.items()} == {f"T{i:05}": i + 1 for i in range(3000)}
 
 
 def test_copies_get_distinct_ranks(spark):
     dated = with_transaction_date(builders.transactions(spark, *({"transaction_id": "T1"} for _ in range(500))))
-    history = with_history(dated, max_group_rows=10)
-    assert sorted(row[0] for row in history.select("transaction_rank").collect()) == list(range(1, 501))
+    found = with_history(dated, max_user_rows=100, max_group_rows=10)
+    assert sorted(row[0] for row in found.select("transaction_rank").collect()) == list(range(1, 501))
 
 
-def test_frame_edge(spark):
+@pytest.mark.parametrize("max_user_rows", [100, 0])
+def test_frame_edge(spark, max_user_rows):
     """Exactly seven days back is inside, one second more is not."""
     dated = with_transaction_date(
         builders.transactions(
@@ -105,23 +121,27 @@ def test_frame_edge(spark):
             {"transaction_id": "D", "user_id": "U2", "timestamp": "20240108120001", "amount": 2.0},
         )
     )
-    found = by_key(with_history(dated), "transaction_id", "montant_cumule_7j")
+    found = by_key(
+        with_history(dated, max_user_rows=max_user_rows), "transaction_id", "montant_cumule_7j"
+    )
     assert found == {"A": 1.0, "B": 3.0, "C": 1.0, "D": 2.0}
 
 
-def test_active_from_fifth_day_on(spark):
+@pytest.mark.parametrize("max_user_rows", [100, 0])
+def test_active_from_fifth_day_on(spark, max_user_rows):
     stamps = ["20240101120000", "20240102120000", "20240103120000", "20240104120000", "20240108120000"]
     dated = with_transaction_date(
         builders.transactions(spark, *({"transaction_id": f"T{i}", "timestamp": s} for i, s in enumerate(stamps)))
     )
-    found = by_key(with_history(dated), "transaction_id", "is_active_user")
+    found = by_key(with_history(dated, max_user_rows=max_user_rows), "transaction_id", "is_active_user")
     assert found == {"T0": 0, "T1": 0, "T2": 0, "T3": 0, "T4": 1}
 
 
-def test_before_1970(spark):
+@pytest.mark.parametrize("max_user_rows", [100, 0])
+def test_before_1970(spark, max_user_rows):
     stamps = ["19691231235959", "19700101000000", "19691225000000"]
     dated = with_transaction_date(
         builders.transactions(spark, *({"transaction_id": f"T{i}", "timestamp": s} for i, s in enumerate(stamps)))
     )
-    expected = by_key(plain_windows(dated, Scoring()), "transaction_id", *COLUMNS)
-    assert found_columns(dated, Scoring()) == expected
+    expected = by_transaction(plain_windows(dated, Scoring()))
+    assert found_columns(dated, Scoring(), max_user_rows=max_user_rows) == expected

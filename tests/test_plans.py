@@ -5,6 +5,8 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from basketflow.functions.calendar import with_transaction_date
+from basketflow.operators.history import past_by_day, with_history, with_user_second
 from basketflow.operators.revenue import by_category_and_region, by_payment_and_period
 from basketflow.operators.validation import valid_rows
 from basketflow.plans.enrichment import wide_transactions
@@ -41,17 +43,18 @@ def test_rules_reach_the_scan(tables):
     assert re.search(r"PushedFilters: \[.*GreaterThan\(amount,0.0\)", text)
 
 
-def test_windows_over_transactions_never_span_a_user(wide):
-    """Only the per-day rows, at most one per calendar day, are windowed by user alone."""
-    windows = [line for line in plan(wide).splitlines() if re.search(r"[-+ ]Window \[", line)]
-    by_user_alone = [line for line in windows if re.search(r"windowspecdefinition\(user_key#\d+, (day|specified)", line)
-                     and not re.search(r"windowspecdefinition\(user_key#\d+, day#\d+L, event_sec", line)]
-    assert len(windows) == 5 and len(by_user_alone) == 2
-    assert all("amount" in line or "last_sec" in line for line in by_user_alone)
+def test_busy_users_are_not_windowed_by_user(tables):
+    """Only their days are; transactions are windowed by second and seconds by day."""
+    dated = with_transaction_date(valid_rows(tables["transactions"], "transactions"))
+    text = plan(past_by_day(with_user_second(dated), window_days=7))
+    windows = [line for line in text.splitlines() if re.search(r"[-+ ]Window \[", line)]
+    by_user_alone = [w for w in windows if re.search(r"\], \[user_key#\d+\](, \[day#\d+L ASC NULLS FIRST\])?$", w)]
+    assert (len(windows), len(by_user_alone)) == (5, 2)
 
 
-def test_transactions_are_scanned_once_more_than_the_rollup(wide):
-    assert len(re.findall(r"FileScan parquet \[transaction_id", plan(wide))) == 1
+def test_transactions_are_shuffled_once_for_their_history(tables):
+    dated = with_transaction_date(valid_rows(tables["transactions"], "transactions"))
+    assert plan(with_history(dated)).count("Exchange") == 1
 
 
 @pytest.mark.parametrize("report", [by_payment_and_period, by_category_and_region])
