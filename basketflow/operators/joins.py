@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 # Rows up to which a dimension may be broadcast on request; wider ones are joined by shuffle.
 MAX_BROADCAST_ROWS = 200_000
 
-# Rows without a key match nothing; they are spread over this many join keys instead of one task.
-_NULL_KEY_SPREAD = 4096
-
 
 def broadcast_if_small(df: DataFrame, enabled: bool = False, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when asked to and the table is counted to be small.
@@ -32,11 +29,11 @@ def lookup(
     """Left join that adds ``attributes``, given as (dimension column, output column).
 
     Every fact row stays; one without a match gets nulls. ``key`` must be unique in the dimension.
-    A hot key is split by the adaptive skew join, which needs no help here because the join reads straight
-    from its two shuffles. Null keys are spread by row id up front.
+    A hot key is split by the adaptive skew join, which can act here because the join reads straight from its
+    two shuffles. Rows without a key match nothing and are spread by row id instead of meeting in one task.
     """
     match = f"__{key}"
-    spread = F.concat(F.lit("null "), F.pmod(F.xxhash64(row_id), F.lit(_NULL_KEY_SPREAD)))
+    spread = F.concat(F.lit("null "), F.xxhash64(row_id).cast("string"))
     keyed_facts = facts.withColumn(match, F.coalesce(F.concat(F.lit("key "), F.col(key)), spread))
     keyed_dimension = dimension.where(F.col(key).isNotNull()).select(
         F.concat(F.lit("key "), F.col(key)).alias(match),

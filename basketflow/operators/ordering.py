@@ -36,8 +36,9 @@ def rows_before(df: DataFrame, keys: Sequence[str], order: Sequence[Column], nam
 def rows_before_by_sort(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """The same numbers from a total sort, which cuts large groups into even pieces.
 
-    Rows with equal keys and order (copies) are cut too, by a running row id as the last sort key. The sorted
-    rows are stored, because piece numbers hold only for one run of the sort.
+    Rows with equal keys and order (copies) are cut too, by a running row id as the last sort key; so that a
+    repeated task gives the same ids, ``df`` should be a scan with row-wise steps only, or have no copies. The
+    sorted rows are stored, because piece numbers hold only for one run of the sort.
     """
     copies, slot, piece = f"__{name}_copy", f"__{name}_slot", f"__{name}_piece"
     first, size, offset = f"__{name}_first", f"__{name}_size", f"__{name}_offset"
