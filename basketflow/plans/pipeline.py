@@ -2,6 +2,7 @@
 
 import argparse
 from collections.abc import Sequence
+from dataclasses import fields, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,6 +120,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="basketflow", description=__doc__)
     parser.add_argument("step", nargs="?", default="all", help=" | ".join(STEPS))
     parser.add_argument("--input", required=True, help="folder with the four input tables")
+    for table in fields(InputPaths):
+        parser.add_argument(f"--{table.name}", help="path of this table, if not under --input")
     parser.add_argument("--output", required=True, help="folder for the results")
     parser.add_argument("--reuse", choices=Reuse.MODES, default="table")
     parser.add_argument("--broadcast", action="store_true", help="broadcast dimensions counted to be small")
@@ -127,16 +130,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if step not in STEPS:
         parser.print_help()
         return
+    elsewhere = {t.name: getattr(chosen, t.name) for t in fields(InputPaths) if getattr(chosen, t.name)}
+    paths = replace(InputPaths.under(chosen.input), **elsewhere)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
-        run_pipeline(
-            spark,
-            InputPaths.under(chosen.input),
-            chosen.output,
-            step,
-            reuse=chosen.reuse,
-            broadcast=chosen.broadcast,
-        )
+        run_pipeline(spark, paths, chosen.output, step, reuse=chosen.reuse, broadcast=chosen.broadcast)
     finally:
         spark.stop()
 
