@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts that a Python worker handles at a time, in characters and rows.
-SLICE_CHARS, SLICE_ROWS = 4_000_000, 2_000
+SLICE_CHARS, SLICE_ROWS = 2_000_000, 1_000
 
 
 _SHIPPED: set[str] = set()

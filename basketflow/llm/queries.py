@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import byte_bpe, language, quality, secret_scan, vector_dedup
+from basketflow.llm import byte_bpe, language, minhash_dedup, quality, secret_scan, vector_dedup
 from basketflow.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.link_documents(read(spark, folder, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(read(spark, folder, "documents"))))
 
@@ -32,5 +36,5 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.op10_language_id(read(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_byte_bpe, op4_vector_dedup, op5_secret_scan, op9_quality, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_dedup, op3_byte_bpe, op4_vector_dedup, op5_secret_scan, op9_quality, op10_language_id)}
 ORACLES: dict[str, str] = {}
