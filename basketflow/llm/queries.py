@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import byte_bpe, hmm_lm, language, minhash_dedup, quality, secret_scan, vector_dedup
+from basketflow.llm import byte_bpe, decontaminate, hmm_lm, language, minhash_dedup, quality, secret_scan, vector_dedup
 from basketflow.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.link_documents(read(spark, folder, "documents"))
 
@@ -40,5 +44,5 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.op10_language_id(read(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_minhash_dedup, op3_byte_bpe, op4_vector_dedup, op5_secret_scan, op7_hmm_lm, op9_quality, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_minhash_dedup, op3_byte_bpe, op4_vector_dedup, op5_secret_scan, op7_hmm_lm, op9_quality, op10_language_id)}
 ORACLES: dict[str, str] = {}
