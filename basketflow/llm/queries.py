@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import byte_bpe, decontaminate, hmm_lm, language, minhash_dedup, quality, secret_scan, substring_dedup, vector_dedup
+from basketflow.llm import byte_bpe, decontaminate, hmm_lm, language, minhash_dedup, pii, quality, secret_scan, substring_dedup, vector_dedup
 from basketflow.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op7_hmm_lm(spark: SparkSession, folder: str) -> DataFrame:
     return hmm_lm.score(read(spark, folder, "documents"))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(pii.find(read(spark, folder, "documents")))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.op9_quality(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
@@ -48,5 +52,5 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.op10_language_id(read(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_minhash_dedup, op3_byte_bpe, op4_vector_dedup, op5_secret_scan, op6_substring_dedup, op7_hmm_lm, op9_quality, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_minhash_dedup, op3_byte_bpe, op4_vector_dedup, op5_secret_scan, op6_substring_dedup, op7_hmm_lm, op8_pii, op9_quality, op10_language_id)}
 ORACLES: dict[str, str] = {}
