@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketflow.functions.rounding import two_decimals
+from basketflow.schemas import RETENTION_COLUMNS
 
 MONTH = "yyyy-MM"
 
@@ -43,16 +44,17 @@ def cohort_retention(enriched: DataFrame) -> DataFrame:
     )
     starters = F.when(F.col("period_index") == 0, F.col("nb_utilisateurs_actifs"))
     size = F.max(starters).over(Window.partitionBy("joined_month"))
-    return cells.withColumn("taille_cohorte", size).select(
-        F.date_format("joined_month", MONTH).alias("cohort_month"),
-        "period_index",
-        "taille_cohorte",
-        "nb_utilisateurs_actifs",
-        two_decimals(F.col("nb_utilisateurs_actifs") / F.col("taille_cohorte") * 100).alias("taux_retention"),
-        "chiffre_affaires",
-        two_decimals(F.col("chiffre_affaires") / F.col("nb_utilisateurs_actifs")).alias(
-            "revenu_moyen_par_utilisateur"
-        ),
+    active = F.col("nb_utilisateurs_actifs")
+    return (
+        cells.withColumn("taille_cohorte", size)
+        .withColumns(
+            {
+                "cohort_month": F.date_format("joined_month", MONTH),
+                "taux_retention": two_decimals(active / F.col("taille_cohorte") * 100),
+                "revenu_moyen_par_utilisateur": two_decimals(F.col("chiffre_affaires") / active),
+            }
+        )
+        .select(*RETENTION_COLUMNS)
     )
 
 

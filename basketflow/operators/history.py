@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketflow.functions.rounding import two_decimals
-from basketflow.operators.joins import MAX_BROADCAST_ROWS
+from basketflow.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, keyed_lookup
 from basketflow.operators.ordering import (
     MAX_GROUP_ROWS,
     oversized_groups,
@@ -43,11 +43,15 @@ def _dated(second: Column) -> Column:
     return F.when(second != UNDATED, second)
 
 
+def _user_key() -> Column:
+    return F.concat(F.lit("user "), "user_id")
+
+
 def with_user_second(transactions: DataFrame) -> DataFrame:
     """Add the grouping keys, neither of which is ever null."""
     return transactions.withColumns(
         {
-            "user_key": F.coalesce(F.concat(F.lit("user "), "user_id"), F.lit("none")),
+            "user_key": F.coalesce(_user_key(), F.lit("none")),
             "event_sec": F.coalesce(F.unix_seconds("transaction_date"), F.lit(UNDATED)),
         }
     )
@@ -84,12 +88,14 @@ def past_by_day(keyed: DataFrame, window_days: int, max_group_rows: int = MAX_GR
         placed = rows_before(keyed, SECOND, by_id, "n_same_second").join(measures, SECOND)
     else:
         # Seconds that one user fills with too many rows, for instance all those without a date.
-        usual = rows_before(keyed.join(F.broadcast(big), SECOND, "left_anti"), SECOND, by_id, "n_same_second")
-        crowded = rows_before_by_sort(
-            keyed.join(F.broadcast(big), SECOND, "left_semi"), SECOND, by_id, "n_same_second"
+        big = broadcast_if_small(as_table(big, "crowded_seconds"), enabled=True)
+        usual = rows_before(keyed.join(big, SECOND, "left_anti"), SECOND, by_id, "n_same_second")
+        crowded = rows_before_by_sort(keyed.join(big, SECOND, "left_semi"), SECOND, by_id, "n_same_second")
+        # as many rows as there are crowded seconds; beyond the bound the skewed join is split by Spark
+        crowded_measures = broadcast_if_small(
+            as_table(measures.join(big, SECOND, "left_semi"), "crowded_measures"), enabled=True
         )
-        crowded_measures = measures.join(F.broadcast(big), SECOND, "left_semi")
-        placed = usual.join(measures, SECOND).unionByName(crowded.join(F.broadcast(crowded_measures), SECOND))
+        placed = usual.join(measures, SECOND).unionByName(crowded.join(crowded_measures, SECOND))
 
     previous = F.when(F.col("n_same_second") > 0, F.col("event_sec")).otherwise(F.col("second_before"))
     return placed.select(
@@ -104,8 +110,12 @@ def past_by_day(keyed: DataFrame, window_days: int, max_group_rows: int = MAX_GR
 
 
 def user_seconds(keyed: DataFrame) -> DataFrame:
-    """Number and amount of transactions per user and second."""
-    return keyed.groupBy(*SECOND).agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    """Number of transactions per user and second, how many have an amount, and the sum of those."""
+    return keyed.groupBy(*SECOND).agg(
+        F.count("*").alias("n"),
+        F.count("amount").alias("n_amounts"),
+        F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount"),
+    )
 
 
 def day_measures(seconds: DataFrame, window_days: int) -> DataFrame:
@@ -113,39 +123,58 @@ def day_measures(seconds: DataFrame, window_days: int) -> DataFrame:
     days = (
         seconds.withColumn("day", _day(F.col("event_sec")))
         .groupBy("user_key", "day")
-        .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"), F.max("event_sec").alias("last_sec"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("n_amounts").alias("n_amounts"),
+            F.sum("amount").alias("amount"),
+            F.max("event_sec").alias("last_sec"),
+        )
     )
     user = Window.partitionBy("user_key")
     calendar = user.orderBy("day")
     edge = calendar.rangeBetween(-window_days, -window_days)
     if window_days > 1:
         whole = calendar.rangeBetween(1 - window_days, -1)
-        whole_amount, whole_active = F.sum("amount").over(whole), F.count("*").over(whole)
+        whole_amount, whole_amounts = F.sum("amount").over(whole), F.sum("n_amounts").over(whole)
+        whole_active = F.count("*").over(whole)
     else:
-        whole_amount, whole_active = F.lit(0.0), F.lit(0)
+        whole_amount, whole_amounts, whole_active = F.lit(0.0), F.lit(0), F.lit(0)
     return days.select(
         "user_key",
         "day",
         F.coalesce(F.sum("n").over(calendar.rowsBetween(*BEFORE)), F.lit(0)).alias("n_before_day"),
         F.lag("last_sec").over(calendar).alias("last_sec_before_day"),
         F.coalesce(whole_amount, F.lit(0.0)).alias("whole_amount"),
+        F.coalesce(whole_amounts, F.lit(0)).alias("whole_amounts"),
         whole_active.alias("whole_active"),
         F.max("last_sec").over(edge).alias("edge_last_sec"),
         F.sum("n").over(user).alias("user_rows"),
         F.sum("amount").over(user).alias("user_amount"),
+        F.sum("n_amounts").over(user).alias("user_amounts"),
     )
 
 
 def second_measures(seconds: DataFrame, window_days: int) -> DataFrame:
     """Per user and second: rows and second before it, sliding amount, active days, user totals."""
     span = window_days * DAY
-    arriving = seconds.select(*SECOND, "n", "amount", F.lit(0.0).alias("leaving"), F.lit(True).alias("arrives"))
+    none = F.lit(0).cast("long")
+    arriving = seconds.select(
+        *SECOND,
+        "n",
+        "n_amounts",
+        "amount",
+        none.alias("n_leaving"),
+        F.lit(0.0).alias("leaving"),
+        F.lit(True).alias("arrives"),
+    )
     # The same amounts moved to the day on which they leave the frame, at their own time of day.
     leaving = seconds.select(
         "user_key",
         (F.col("event_sec") + span).alias("event_sec"),
-        F.lit(0).cast("long").alias("n"),
+        none.alias("n"),
+        none.alias("n_amounts"),
         F.lit(0.0).alias("amount"),
+        F.col("n_amounts").alias("n_leaving"),
         F.col("amount").alias("leaving"),
         F.lit(False).alias("arrives"),
     )
@@ -164,36 +193,63 @@ def second_measures(seconds: DataFrame, window_days: int) -> DataFrame:
             F.max(F.when(F.col("arrives"), F.col("event_sec"))).over(rising.rowsBetween(*BEFORE)).alias("sec_in_day"),
             F.sum("amount").over(rising.rowsBetween(*SO_FAR)).alias("day_so_far"),
             F.sum("leaving").over(falling.rangeBetween(*SO_FAR)).alias("not_yet_left"),
+            F.sum("n_amounts").over(rising.rowsBetween(*SO_FAR)).alias("amounts_so_far"),
+            F.sum("n_leaving").over(falling.rangeBetween(*SO_FAR)).alias("amounts_not_yet_left"),
         )
         .where("arrives")
     )
     in_edge = F.coalesce(F.col("edge_last_sec") >= F.col("event_sec") - span, F.lit(False))
+    amounts = F.col("amounts_so_far") + F.col("whole_amounts") + F.col("amounts_not_yet_left")
+    sliding = F.col("day_so_far") + F.col("whole_amount") + F.col("not_yet_left")
     return in_day.join(day_measures(seconds, window_days), ["user_key", "day"]).select(
         *SECOND,
         (F.col("n_before_day") + F.col("n_before_in_day")).alias("n_before"),
         F.coalesce("sec_in_day", "last_sec_before_day").alias("second_before"),
-        (F.col("day_so_far") + F.col("whole_amount") + F.col("not_yet_left")).alias("sliding_amount"),
+        F.when(amounts > 0, sliding).alias("sliding_amount"),
         F.when(F.col("event_sec") == UNDATED, 0)
         .otherwise(1 + F.col("whole_active") + in_edge.cast("int"))
         .cast("int")
         .alias("active_days"),
         "user_rows",
-        (F.col("user_amount") / F.col("user_rows")).alias("user_mean"),
+        F.try_divide("user_amount", "user_amounts").alias("user_mean"),
     )
 
 
-def with_past(keyed: DataFrame, window_days: int, max_user_rows: int, max_group_rows: int) -> DataFrame:
-    """Each user by the way that suits the number of its transactions."""
+def with_past(
+    keyed: DataFrame, window_days: int, max_user_rows: int, max_group_rows: int, users: DataFrame | None = None
+) -> DataFrame:
+    """Each user by the way that suits the number of its transactions.
+
+    The largest of the busy users, as many as may be broadcast, are set apart before anything is shuffled. Other
+    busy users, if there are that many, are told from quiet ones by a join on the user, which the windows of the
+    quiet ones go on from; none of them has more than its share of the rows divided by that number.
+    """
     sizes = keyed.groupBy("user_key").agg(F.count("*").alias("n"))
-    busy = as_table(sizes.where(F.col("n") > max_user_rows).select("user_key"), "busy_users")
+    busy = as_table(sizes.where(F.col("n") > max_user_rows), "busy_users")
     count = busy.count()
     if count == 0:
-        return past_by_user(keyed, window_days)
+        return _of_quiet(keyed, window_days, users)
+    largest, names = busy.select("user_key"), busy.select("user_key")
     if count > MAX_BROADCAST_ROWS:
-        return past_by_day(keyed, window_days, max_group_rows)
-    few = keyed.join(F.broadcast(busy), "user_key", "left_anti")
-    many = keyed.join(F.broadcast(busy), "user_key", "left_semi")
-    return past_by_user(few, window_days).unionByName(past_by_day(many, window_days, max_group_rows))
+        largest = as_table(busy.orderBy(F.desc("n"), "user_key").limit(MAX_BROADCAST_ROWS).select("user_key"), "largest")
+    few = keyed.join(F.broadcast(largest), "user_key", "left_anti")
+    many = keyed.join(F.broadcast(largest), "user_key", "left_semi")
+    if count > MAX_BROADCAST_ROWS:
+        names = names.hint("merge")  # keeps the partitioning by user for the windows
+        many = many.unionByName(few.join(names, "user_key", "left_semi"))
+        few = few.join(names, "user_key", "left_anti")
+    return _of_quiet(few, window_days, users).unionByName(_of_busy(many, window_days, max_group_rows, users))
+
+
+def _of_quiet(keyed: DataFrame, window_days: int, users: DataFrame | None) -> DataFrame:
+    """The users' attributes are joined by the key the windows are partitioned by: no second shuffle."""
+    past = past_by_user(keyed, window_days)
+    return past if users is None else past.join(users, "user_key", "left")
+
+
+def _of_busy(keyed: DataFrame, window_days: int, max_group_rows: int, users: DataFrame | None) -> DataFrame:
+    past = past_by_day(keyed, window_days, max_group_rows)
+    return past if users is None else keyed_lookup(past, users, "user_key")
 
 
 def with_history(
@@ -201,13 +257,19 @@ def with_history(
     scoring: Scoring = Scoring(),
     max_user_rows: int = MAX_USER_ROWS,
     max_group_rows: int = MAX_GROUP_ROWS,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """Add the per-user columns to transactions that have a ``transaction_date`` (null allowed).
 
     Rank, previous purchase and means follow (transaction_date, transaction_id), missing dates first.
-    ``user_mean`` and ``delay_minutes`` are left unrounded for scoring.
+    ``user_mean`` and ``delay_minutes`` are left unrounded for scoring. Sums and means leave out missing amounts and
+    are null where a frame has none. ``users``, with ``user_id`` and columns to attach, is joined on the way.
+    Users are counted before the plan is made, so calling this runs a job over the keys.
     """
-    past = with_past(with_user_second(transactions), scoring.window_days, max_user_rows, max_group_rows)
+    attached = [] if users is None else [name for name in users.columns if name != "user_id"]
+    if users is not None:
+        users = users.where(F.col("user_id").isNotNull()).select(_user_key().alias("user_key"), *attached)
+    past = with_past(with_user_second(transactions), scoring.window_days, max_user_rows, max_group_rows, users)
     now, before = _dated(F.col("event_sec")), F.col("previous_sec")
     return past.select(
         *transactions.columns,
@@ -218,4 +280,5 @@ def with_history(
         (_day(now) - _day(before)).cast("int").alias("jours_depuis_achat_precedent"),
         ((now - before) / F.lit(60.0)).alias("delay_minutes"),
         "user_mean",
+        *attached,
     )

@@ -24,24 +24,36 @@ def lookup(
     dimension: DataFrame,
     key: str,
     attributes: Sequence[tuple[str, str]],
-    row_id: str = "transaction_id",
 ) -> DataFrame:
     """Left join that adds ``attributes``, given as (dimension column, output column).
 
     Every fact row stays; one without a match gets nulls. ``key`` must be unique in the dimension.
     A hot key is split by the adaptive skew join, which can act here because the join reads straight from its
-    two shuffles. Rows without a key match nothing and are spread by row id instead of meeting in one task.
+    two shuffles. Rows without a key match nothing; they are spread by all they hold instead of meeting in one task.
     """
     match = f"__{key}"
-    spread = F.concat(F.lit("null "), F.xxhash64(row_id).cast("string"))
-    keyed_facts = facts.withColumn(match, F.coalesce(F.concat(F.lit("key "), F.col(key)), spread))
     keyed_dimension = dimension.where(F.col(key).isNotNull()).select(
         F.concat(F.lit("key "), F.col(key)).alias(match),
         *(F.col(source).alias(output) for source, output in attributes),
     )
+    hashable = [f.name for f in facts.schema if not f.dataType.simpleString().startswith("map")]
+    spread = F.concat(F.lit("null "), F.xxhash64(*hashable).cast("string"))
+    keyed_facts = facts.withColumn(match, F.coalesce(F.concat(F.lit("key "), F.col(key)), spread))
     return keyed_facts.join(keyed_dimension, match, "left").drop(match)
 
 
+def keyed_lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Left join on a key that is never null in ``facts`` and may be hot there.
+
+    The key is renamed first, so that the join makes its own shuffles, which Spark can split, whatever
+    partitioning the facts come with.
+    """
+    match = f"__{key}"
+    return facts.withColumn(match, F.concat(F.lit("of "), F.col(key))).join(
+        dimension.select(F.concat(F.lit("of "), F.col(key)).alias(match), *(c for c in dimension.columns if c != key)), match, "left"
+    ).drop(match)
+
+
 def orphan_counts(facts: DataFrame, references: dict[str, DataFrame]) -> DataFrame:
     """Rows whose non-null key is absent from its reference, one output row per key column.
 

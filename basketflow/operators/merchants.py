@@ -5,27 +5,9 @@ from pyspark.sql import functions as F
 
 from basketflow.functions.rounding import two_decimals
 from basketflow.operators.ordering import MAX_GROUP_ROWS, with_rank
-from basketflow.schemas import AGE_GROUP_REVENUE
+from basketflow.schemas import AGE_GROUP_REVENUE, KPI_COLUMNS
 from basketflow.shared import as_table
 
-# Output columns in order.
-KPI_COLUMNS = [
-    "merchant_id",
-    "merchant_name",
-    "merchant_category",
-    "region",
-    "chiffre_affaires",
-    "nb_transactions",
-    "nb_clients_uniques",
-    "montant_moyen",
-    "rang_ca_categorie",
-    "rang_ca_region",
-    "commission_totale",
-    *AGE_GROUP_REVENUE.values(),
-    "taux_suspectes_pct",
-]
-
-
 def revenue() -> list[Column]:
     """Revenue and number of transactions."""
     return [two_decimals(F.sum("amount")).alias("chiffre_affaires"), F.count("*").alias("nb_transactions")]
@@ -56,7 +38,10 @@ def merchant_totals(enriched: DataFrame) -> DataFrame:
 
 
 def merchant_kpis(enriched: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Totals with the revenue rank inside the merchant's category and inside its region."""
+    """Totals with the revenue rank inside the merchant's category and inside its region.
+
+    The totals are stored before group sizes are looked at, so calling this runs the aggregation.
+    """
     ranked = as_table(merchant_totals(enriched), "merchant_totals")
     ranked = with_rank(ranked, "merchant_category", "chiffre_affaires", "rang_ca_categorie", max_group_rows)
     ranked = with_rank(ranked, "region", "chiffre_affaires", "rang_ca_region", max_group_rows)

@@ -20,8 +20,8 @@ def oversized_groups(
 ) -> DataFrame | None:
     """Keys of the groups above the bound, or None if there is none.
 
-    At most (rows / bound) groups can exceed it: a million at 10^12 rows, so the result may be broadcast.
-    ``sizes`` should be a stored table, as it is read here and again by the caller.
+    At most (rows / bound) groups can exceed it; count them before a broadcast. ``sizes`` should be
+    a stored table, as it is read here and again by the caller.
     """
     big = sizes.where(F.col(size) > max_group_rows).select(*keys)
     return None if big.isEmpty() else big
@@ -71,5 +71,8 @@ def with_rank(
     key, position = "__group", "__position"
     keyed = df.withColumn(key, F.coalesce(F.concat(F.lit("key "), F.col(group)), F.lit("none")))
     placed = rows_before_by_sort(keyed, [key], [F.desc(value)], position)
-    ranks = placed.groupBy(key, value).agg((F.min(position) + 1).cast("int").alias(name))
-    return placed.join(ranks, [key, value]).select(*df.columns, name)
+    ranks = placed.groupBy(F.col(key).alias("__of"), F.col(value).alias("__at")).agg(
+        (F.min(position) + 1).cast("int").alias(name)
+    )
+    same = (F.col(key) == F.col("__of")) & F.col(value).eqNullSafe(F.col("__at"))
+    return placed.join(ranks, same).select(*df.columns, name)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketflow.functions.rounding import two_decimals
+from basketflow.schemas import TOP_PRODUCT_COLUMNS
 
 
 def top_products(enriched: DataFrame, k: int = 10) -> DataFrame:
@@ -34,13 +35,4 @@ def top_products(enriched: DataFrame, k: int = 10) -> DataFrame:
     )
     # at most k rows from here on, so one task is enough to number them
     place = F.row_number().over(Window.orderBy(F.desc("chiffre_affaires"), "product_id"))
-    return best.select(
-        place.alias("rang"),
-        "product_id",
-        "product_name",
-        "category",
-        "chiffre_affaires",
-        "nb_transactions",
-        "rating",
-        "stock",
-    )
+    return best.withColumn("rang", place).select(*TOP_PRODUCT_COLUMNS)

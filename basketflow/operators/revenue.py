@@ -5,9 +5,11 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from basketflow.functions.rounding import two_decimals
 from basketflow.operators.merchants import revenue
+from basketflow.schemas import REGION_COLUMNS
 
 
 def _cells(enriched: DataFrame, *keys: str) -> DataFrame:
@@ -25,11 +27,10 @@ def _cell_total() -> Column:
 def by_category_and_region(enriched: DataFrame) -> DataFrame:
     """Revenue per region and category, with its share of the region's revenue."""
     cells = _cells(enriched, "region", "category")
-    regions = cells.groupBy("region").agg(_cell_total().alias("ca_region"))
-    share = two_decimals(F.col("chiffre_affaires") / F.col("ca_region") * 100)
-    return cells.join(regions, "region").select(
-        "region", "category", "chiffre_affaires", "nb_transactions", share.alias("part_ca_region_pct")
-    )
+    # a region has one cell per category, however many transactions
+    region = F.sum("chiffre_affaires").over(Window.partitionBy("region"))
+    share = two_decimals(F.col("chiffre_affaires") / region * 100)
+    return cells.select(*REGION_COLUMNS[:-1], share.alias(REGION_COLUMNS[-1]))
 
 
 def by_payment_and_period(enriched: DataFrame) -> DataFrame:

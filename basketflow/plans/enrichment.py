@@ -17,19 +17,32 @@ def scored_transactions(transactions: DataFrame, scoring: Scoring = Scoring()) -
     return with_score(with_time_features(_with_history(transactions, scoring)), scoring)
 
 
-def _with_history(transactions: DataFrame, scoring: Scoring) -> DataFrame:
+def _with_history(transactions: DataFrame, scoring: Scoring, users: DataFrame | None = None) -> DataFrame:
     require_utc(transactions.sparkSession)
-    return with_history(with_transaction_date(transactions), scoring)
+    return with_history(with_transaction_date(transactions), scoring, users=users)
+
+
+def with_user(facts: DataFrame, users: DataFrame, broadcast: bool = False) -> DataFrame:
+    """Attributes of the user and its age group."""
+    wide = lookup(facts, broadcast_if_small(users, broadcast), "user_id", USER_ATTRIBUTES)
+    return wide.withColumn("age_group", age_group(F.col("age")))
+
+
+def with_product(facts: DataFrame, products: DataFrame) -> DataFrame:
+    """Attributes of the product. Products are counted, and broadcast if there are few."""
+    return lookup(facts, broadcast_if_small(products, enabled=True), "product_id", PRODUCT_ATTRIBUTES)
+
+
+def with_merchant(facts: DataFrame, merchants: DataFrame) -> DataFrame:
+    """Attributes of the transaction's own merchant. Merchants are counted, and broadcast if there are few."""
+    return lookup(facts, broadcast_if_small(merchants, enabled=True), "merchant_id", MERCHANT_ATTRIBUTES)
 
 
 def with_dimensions(
     facts: DataFrame, users: DataFrame, products: DataFrame, merchants: DataFrame, broadcast: bool = False
 ) -> DataFrame:
     """Attributes of the user, the product and the transaction's own merchant."""
-    wide = lookup(facts, broadcast_if_small(users, broadcast), "user_id", USER_ATTRIBUTES)
-    wide = lookup(wide, broadcast_if_small(products, broadcast), "product_id", PRODUCT_ATTRIBUTES)
-    wide = lookup(wide, broadcast_if_small(merchants, broadcast), "merchant_id", MERCHANT_ATTRIBUTES)
-    return wide.withColumn("age_group", age_group(F.col("age")))
+    return with_merchant(with_product(with_user(facts, users, broadcast), products), merchants)
 
 
 def wide_transactions(
@@ -41,10 +54,12 @@ def wide_transactions(
     broadcast: bool = False,
 ) -> DataFrame:
     """Enriched columns plus the score evidence. All four inputs hold valid rows only."""
-    # Shuffles come first and widest last: the history moves the transaction's own columns only, and whatever
-    # one row can compute by itself (calendar, score) is added after the last join.
-    history = _with_history(transactions, scoring)
-    joined = with_dimensions(history, users, products, merchants, broadcast)
+    # Shuffles come first and widest last: the history moves the transaction's own columns only, users meet it
+    # where it is partitioned by user, and whatever one row can compute by itself (calendar, score) is added after
+    # the last join.
+    of_user = users.select("user_id", *(F.col(source).alias(output) for source, output in USER_ATTRIBUTES))
+    history = _with_history(transactions, scoring, broadcast_if_small(of_user, broadcast))
+    joined = with_merchant(with_product(history.withColumn("age_group", age_group(F.col("age"))), products), merchants)
     return with_score(with_time_features(joined), scoring)
 
 

@@ -15,6 +15,7 @@ from basketflow.operators.validation import rejected_rows, valid_rows
 from basketflow.plans.enrichment import enriched, wide_transactions
 from basketflow.plans.reuse import Reuse
 from basketflow.settings import InputPaths, Limits, Scoring
+from basketflow.shared import run_folder
 from basketflow.sinks.writers import write_csv_and_parquet, write_dated_report
 from basketflow.sources import readers
 
@@ -107,14 +108,23 @@ def run_pipeline(
     reuse: str = "table",
     broadcast: bool = False,
     day: date | None = None,
+    keep_tables: bool = False,
 ) -> list[str]:
-    """Read the inputs, write every output of the steps up to ``upto`` and return their names."""
-    with Reuse(reuse) as kept:
+    """Read the inputs, write every output of the steps up to ``upto`` and return their names.
+
+    Intermediate tables are deleted at the end, also of a failed run, unless ``keep_tables``.
+    """
+    with run_folder(spark, keep=keep_tables), Reuse(reuse) as kept:
         outputs = build_outputs(read_inputs(spark, paths), upto, limits, scoring, kept, broadcast)
         write_outputs(outputs, output, day or date.today())
     return list(outputs)
 
 
+def _settings(kind: type, chosen: argparse.Namespace):
+    """``Limits`` or ``Scoring`` from the command line, which has an option for each of their fields."""
+    return kind(**{option.name: getattr(chosen, option.name) for option in fields(kind)})
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     """For spark-submit; master, memory and partitions come from there."""
     parser = argparse.ArgumentParser(prog="basketflow", description=__doc__)
@@ -124,7 +134,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
         parser.add_argument(f"--{table.name}", help="path of this table, if not under --input")
     parser.add_argument("--output", required=True, help="folder for the results")
     parser.add_argument("--reuse", choices=Reuse.MODES, default="table")
-    parser.add_argument("--broadcast", action="store_true", help="broadcast dimensions counted to be small")
+    parser.add_argument("--broadcast", action="store_true", help="broadcast users too, if counted to be few")
+    parser.add_argument("--keep-tables", action="store_true", help="leave intermediate tables in the shared folder")
+    for settings in (Limits, Scoring):
+        for option in fields(settings):
+            name = f"--{option.name.replace('_', '-')}"
+            parser.add_argument(name, type=type(option.default), default=option.default, help="default %(default)s")
     chosen = parser.parse_args(arguments)
     step = chosen.step.strip().lower()
     if step not in STEPS:
@@ -134,7 +149,17 @@ def main(arguments: Sequence[str] | None = None) -> None:
     paths = replace(InputPaths.under(chosen.input), **elsewhere)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
-        run_pipeline(spark, paths, chosen.output, step, reuse=chosen.reuse, broadcast=chosen.broadcast)
+        run_pipeline(
+            spark,
+            paths,
+            chosen.output,
+            step,
+            limits=_settings(Limits, chosen),
+            scoring=_settings(Scoring, chosen),
+            reuse=chosen.reuse,
+            broadcast=chosen.broadcast,
+            keep_tables=chosen.keep_tables,
+        )
     finally:
         spark.stop()
 

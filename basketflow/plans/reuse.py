@@ -12,7 +12,8 @@ class Reuse(AbstractContextManager):
     """How frames with several readers are kept: ``table``, ``persist`` or ``none``.
 
     ``table`` writes Parquet to the shared folder: it survives lost executors, and later reads skip columns
-    and row groups. ``persist`` suits data that fits the executors; it is released on exit.
+    and row groups. ``persist`` suits data that fits the executors; it is released on exit. Some operators write
+    small tables of their own in every mode (sizes, totals, sorted pieces); ``run_folder`` removes all tables.
     """
 
     MODES = ("table", "persist", "none")

@@ -131,5 +131,42 @@ MIDDLE_AGED = "Âge Moyen"
 SENIOR = "Senior"
 AGE_GROUP_REVENUE = {YOUNG: "ca_jeune", ADULT: "ca_adulte", MIDDLE_AGED: "ca_age_moyen", SENIOR: "ca_senior"}
 
+# Columns of the reports, in order.
+KPI_COLUMNS = [
+    "merchant_id",
+    "merchant_name",
+    "merchant_category",
+    "region",
+    "chiffre_affaires",
+    "nb_transactions",
+    "nb_clients_uniques",
+    "montant_moyen",
+    "rang_ca_categorie",
+    "rang_ca_region",
+    "commission_totale",
+    *AGE_GROUP_REVENUE.values(),
+    "taux_suspectes_pct",
+]
+TOP_PRODUCT_COLUMNS = [
+    "rang",
+    "product_id",
+    "product_name",
+    "category",
+    "chiffre_affaires",
+    "nb_transactions",
+    "rating",
+    "stock",
+]
+RETENTION_COLUMNS = [
+    "cohort_month",
+    "period_index",
+    "taille_cohorte",
+    "nb_utilisateurs_actifs",
+    "taux_retention",
+    "chiffre_affaires",
+    "revenu_moyen_par_utilisateur",
+]
+REGION_COLUMNS = ["region", "category", "chiffre_affaires", "nb_transactions", "part_ca_region_pct"]
+
 # Fixed value: text layout of the transaction timestamp.
 TIMESTAMP_FORMAT = "yyyyMMddHHmmss"

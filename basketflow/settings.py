@@ -26,6 +26,10 @@ class Scoring:
     delay_minutes: float = 5.0
     min_conditions: int = 2
 
+    def __post_init__(self) -> None:
+        if self.window_days < 1:
+            raise ValueError("window_days must be 1 or more")
+
 
 @dataclass(frozen=True)
 class InputPaths:

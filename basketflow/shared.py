@@ -1,24 +1,48 @@
 """Intermediate tables in the folder that all executors share."""
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUN: ContextVar[str | None] = ContextVar("run folder", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local session."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where driver and executors are one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="basketflow-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/basketflow/{uuid.uuid4().hex}/{name}"
+    """A path that nothing else uses, in the folder of the run if there is one."""
+    return f"{_RUN.get() or f'{shared_folder(spark)}/basketflow'}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, keep: bool = False) -> Iterator[str]:
+    """All tables written inside go to one folder, which is deleted at the end, also after a failure.
+
+    Results must have been written elsewhere by then, as they are read from these tables. ``keep`` leaves them.
+    """
+    folder = f"{shared_folder(spark)}/basketflow/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        if not keep:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def as_table(df: DataFrame, name: str) -> DataFrame:

@@ -185,6 +185,9 @@ _ENRICHED = """transaction_id, user_id, product_id, merchant_id, amount, "timest
     day_period, is_working_hours, transaction_rank, total_transactions_user, montant_cumule_7j, is_active_user,
     jours_depuis_achat_precedent, ecart_panier_moyen_pct, is_suspicious"""
 
+_HISTORY = """transaction_rank, total_transactions_user, montant_cumule_7j, is_active_user,
+    jours_depuis_achat_precedent, delai_precedente_minutes, panier_moyen_user"""
+
 _BODIES = {
     "read_csv_transactions": f"select {_plain('transactions')} from transactions",
     "read_json_users": _flat_users(
@@ -254,10 +257,17 @@ _BODIES = {
         panier_moyen_user, ecart_panier_moyen_pct, day_period, delai_precedente_minutes, payment_method,
         cond_montant, cond_night, cond_delai, cond_crypto, nb_conditions, is_suspicious
         from scored where is_suspicious = 1""",
+    **{name: f"select transaction_id, {_HISTORY} from scored" for name in ("history_by_day", "history_mixed")},
     "enriched_transactions": f"select {_ENRICHED} from scored",
-    "merchant_kpis": """select merchant_id, merchant_name, merchant_category, region, chiffre_affaires,
+    "pipeline_enriched": f"select {_ENRICHED} from scored",
+    "pipeline_other_thresholds": f"select {_ENRICHED} from scored",
+    "pipeline_report": _REPORT,
+    **{
+        name: """select merchant_id, merchant_name, merchant_category, region, chiffre_affaires,
         nb_transactions, nb_clients_uniques, montant_moyen, rang_ca_categorie, rang_ca_region, commission_totale,
-        ca_jeune, ca_adulte, ca_age_moyen, ca_senior, taux_suspectes_pct from merchant_ranked""",
+        ca_jeune, ca_adulte, ca_age_moyen, ca_senior, taux_suspectes_pct from merchant_ranked"""
+        for name in ("merchant_kpis", "merchant_kpis_by_sort", "pipeline_kpis")
+    },
     "merchant_ranks": """select merchant_id, merchant_category, region, chiffre_affaires, rang_ca_categorie,
         rang_ca_region from merchant_ranked""",
     "revenue_by_age_group": f"""select region,
@@ -278,6 +288,8 @@ _BODIES = {
     "first_purchase": "select user_id, first_date, cohort_month from firsts",
     "cohort_sizes": "select cohort_month, taille_cohorte from sizes",
     "cohort_retention": "select * from retention",
+    "written_order": """select row_number() over (order by cohort_month, period_index) as line, cohort_month,
+        period_index from retention""",
     "best_cohort_3m": """select cohort_month, taille_cohorte, nb_utilisateurs_actifs as nb_utilisateurs_actifs_m3,
         taux_retention as taux_retention_m3 from retention where period_index = 3
         order by taux_retention desc, cohort_month limit 1""",
@@ -288,3 +300,17 @@ _BODIES = {
 }
 
 ORACLES = {name: _sql(body) for name, body in _BODIES.items()}
+
+# The thresholds of that query in place of the default ones.
+for _default, _other in (
+    ("age between 16 and 100", "age between 21 and 60"),
+    ("rating between 1.0 and 5.0", "rating between 2.0 and 4.5"),
+    ("commission_rate between 0.0 and 1.0", "commission_rate between 0.0 and 0.5"),
+    ("range between 604800 preceding", "range between 259200 preceding"),
+    ("days_7d >= 5", "days_7d >= 2"),
+    ("deviation > 300", "deviation > 150"),
+    ("delay < 5 ", "delay < 600 "),
+    ("cond_crypto >= 2", "cond_crypto >= 1"),
+):
+    assert _default in ORACLES["pipeline_other_thresholds"]
+    ORACLES["pipeline_other_thresholds"] = ORACLES["pipeline_other_thresholds"].replace(_default, _other)

@@ -1,20 +1,33 @@
 """Every registered query: name -> function of (session, folder of driver tables)."""
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from basketflow.functions.calendar import with_calendar
+from basketflow.functions.calendar import with_calendar, with_time_features, with_transaction_date
 from basketflow.functions.labels import age_group
 from basketflow.operators import cohorts, merchants, products, revenue
+from basketflow.operators.history import with_history
 from basketflow.operators.joins import duplicate_keys, lookup, orphan_counts
 from basketflow.operators.quality import quality_report, table_counts
-from basketflow.operators.suspicion import suspicious_transactions
+from basketflow.operators.suspicion import suspicious_transactions, with_score
 from basketflow.operators.validation import REASON, rejected_rows, tagged_rows, valid_rows
-from basketflow.plans.enrichment import enriched, scored_transactions, wide_transactions, with_dimensions
+from basketflow.plans.enrichment import (
+    enriched,
+    scored_transactions,
+    wide_transactions,
+    with_dimensions,
+    with_merchant,
+    with_product,
+    with_user,
+)
+from basketflow.plans.pipeline import ORDER, run_pipeline
 from basketflow.schemas import MERCHANT_ATTRIBUTES, PRODUCT_ATTRIBUTES, SCORE_COLUMNS, USER_ATTRIBUTES
+from basketflow.settings import InputPaths, Limits, Scoring
 from basketflow.shared import new_path
 from basketflow.sinks.writers import flatten_arrays, write_csv_and_parquet
 from basketflow.sources import readers
@@ -238,6 +251,31 @@ _history_query("purchase_delay", "delai_precedente_minutes")
 _history_query("basket_deviation", "panier_moyen_user", "ecart_panier_moyen_pct")
 _history_query("suspicion_flags", *SCORE_COLUMNS, "is_suspicious")
 QUERIES["suspicious_transactions"] = lambda spark, folder: suspicious_transactions(_scored(spark, folder))
+
+
+HISTORY = (
+    "transaction_rank",
+    "total_transactions_user",
+    "montant_cumule_7j",
+    "is_active_user",
+    "jours_depuis_achat_precedent",
+    "delai_precedente_minutes",
+    "panier_moyen_user",
+)
+
+
+def _large_scale_query(name: str, **bounds: int) -> None:
+    """All history columns, with bounds that send the rows the way of users and seconds too large for one task."""
+
+    def history(spark, folder):
+        dated = with_transaction_date(_valid(spark, folder, "transactions"))
+        return with_score(with_time_features(with_history(dated, **bounds))).select("transaction_id", *HISTORY)
+
+    QUERIES[name] = history
+
+
+_large_scale_query("history_by_day", max_user_rows=0)
+_large_scale_query("history_mixed", max_user_rows=50, max_group_rows=1)
 QUERIES["enriched_transactions"] = lambda spark, folder: enriched(_wide(spark, folder))
 
 
@@ -256,26 +294,34 @@ def merchant_ranks(spark, folder):
     )
 
 
-def _dated_with_dimensions(spark, folder):
-    """What the product and revenue reports read; they need neither history nor score."""
-    arguments = _dimension_arguments(spark, folder)
-    arguments["facts"] = with_calendar(arguments["facts"])
-    return with_dimensions(**arguments)
+@query("merchant_kpis_by_sort")
+def merchant_kpis_by_sort(spark, folder):
+    """Ranks by the way of groups too large for one task."""
+    return merchants.merchant_kpis(_wide(spark, folder), max_group_rows=1)
+
+
+# The reports below need neither history nor score, and each joins only the dimensions it reads.
 
 
 @query("revenue_by_age_group")
 def revenue_by_age_group(spark, folder):
-    return _dated_with_dimensions(spark, folder).groupBy("region").agg(*merchants.age_group_revenue())
+    facts = with_user(_valid(spark, folder, "transactions"), _valid(spark, folder, "users"))
+    joined = with_merchant(facts, _valid(spark, folder, "merchants"))
+    return joined.groupBy("region").agg(*merchants.age_group_revenue())
 
 
 @query("top10_products")
 def top10_products(spark, folder):
-    return products.top_products(_dated_with_dimensions(spark, folder))
+    return products.top_products(
+        with_product(_valid(spark, folder, "transactions"), _valid(spark, folder, "products"))
+    )
 
 
 @query("revenue_by_category_region")
 def revenue_by_category_region(spark, folder):
-    return revenue.by_category_and_region(_dated_with_dimensions(spark, folder))
+    return revenue.by_category_and_region(
+        with_merchant(_valid(spark, folder, "transactions"), _valid(spark, folder, "merchants"))
+    )
 
 
 @query("revenue_by_payment_period")
@@ -318,3 +364,64 @@ def sink_roundtrip(spark, folder):
     return from_csv.withColumn("format", F.lit("csv")).unionByName(
         from_parquet.withColumn("format", F.lit("parquet"))
     )
+
+
+# The staged pipeline: the views are written in the four source formats, run through all steps and read back.
+
+
+def _pipeline_output(spark: SparkSession, folder: str, upto: str = "all", **settings) -> str:
+    inputs, output = InputPaths.under(new_path(spark, "inputs")), new_path(spark, "outputs")
+    view(spark, folder, "transactions").write.option("header", True).csv(inputs.transactions)
+    view(spark, folder, "users").write.json(inputs.users)
+    view(spark, folder, "products").write.parquet(inputs.products)
+    view(spark, folder, "merchants").write.option("header", True).csv(inputs.merchants)
+    run_pipeline(spark, inputs, output, upto, day=date(2026, 1, 31), **settings)
+    return output
+
+
+@query("pipeline_report")
+def pipeline_report(spark, folder):
+    """The dated report as it was written."""
+    path = f"{_pipeline_output(spark, folder, 'ingestion')}/rapport_qualite_20260131"
+    schema = quality_report(**views(spark, folder, *TABLES)).schema
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
+
+
+@query("pipeline_enriched")
+def pipeline_enriched(spark, folder):
+    path = f"{_pipeline_output(spark, folder, 'transformation')}/parquet/transactions_enrichies"
+    return spark.read.parquet(path)
+
+
+@query("pipeline_kpis")
+def pipeline_kpis(spark, folder):
+    return spark.read.parquet(f"{_pipeline_output(spark, folder)}/parquet/kpi_marchands")
+
+
+OTHER_LIMITS = Limits(min_age=21, max_age=60, min_rating=2.0, max_rating=4.5, max_commission=0.5)
+OTHER_SCORING = Scoring(window_days=3, active_days=2, amount_pct=150.0, delay_minutes=600.0, min_conditions=1)
+
+
+@query("pipeline_other_thresholds")
+def pipeline_other_thresholds(spark, folder):
+    """The enriched rows under thresholds that are all off their defaults."""
+    output = _pipeline_output(spark, folder, "transformation", limits=OTHER_LIMITS, scoring=OTHER_SCORING)
+    return spark.read.parquet(f"{output}/parquet/transactions_enrichies")
+
+
+@query("written_order")
+def written_order(spark, folder):
+    """A report as one CSV file, with the number of the line that each row is on."""
+    output = new_path(spark, "output")
+    cells = cohorts.cohort_retention(_long(spark, folder))
+    write_csv_and_parquet(cells, output, "cohortes_retention", ORDER["cohortes_retention"], single_file=True)
+    # whole files are read by one task here, so ids follow the lines; the report is small whatever the input
+    lines = spark.read.text(f"{output}/csv/cohortes_retention").select(
+        F.monotonically_increasing_id().alias("at"), F.split("value", ",").alias("cells")
+    )
+    line = F.row_number().over(Window.orderBy("at")).cast("long") - 1
+    return (
+        lines.withColumn("line", line)
+        .where("line > 0")
+        .select("line", F.col("cells")[0].alias("cohort_month"), F.col("cells")[1].cast("int").alias("period_index"))
+    )

@@ -43,9 +43,15 @@ def plain_windows(dated: DataFrame, scoring: Scoring) -> DataFrame:
     ).toDF("transaction_id", *COLUMNS)
 
 
-def dirty_transactions(spark, seed: int, rows: int = 600) -> DataFrame:
-    """A user with half of the rows, rows without user, without date, and many equal seconds."""
+def dirty_transactions(spark, seed: int, rows: int = 600, odd_amounts: bool = False) -> DataFrame:
+    """A user with half of the rows, rows without user, without date, and many equal seconds.
+
+    With odd amounts also missing ones, of some users all of them, and some that are no number.
+    """
     rng = random.Random(seed)
+    amounts = [k / 100 for k in range(1, 50_000, 7)]
+    if odd_amounts:
+        amounts = [*amounts[:8], None, None, None, None]
     made = []
     for i in range(rows):
         day, hour, second = rng.randint(1, 28), rng.choice((0, 0, 11, 23)), rng.choice((0, 0, 0, 1, 59))
@@ -54,7 +60,7 @@ def dirty_transactions(spark, seed: int, rows: int = 600) -> DataFrame:
             {
                 "transaction_id": f"T{rng.randint(0, 10**6):07}-{i}",
                 "user_id": rng.choice(("U1", "U1", "U1", None, "U2", "U3", f"U{i}")),
-                "amount": rng.randint(1, 50_000) / 100,
+                "amount": rng.choice(amounts),
                 "timestamp": rng.choice((stamp,) * 9 + ("2024023012000x",)),
             }
         )
@@ -64,7 +70,8 @@ def dirty_transactions(spark, seed: int, rows: int = 600) -> DataFrame:
 def by_transaction(df: DataFrame) -> dict:
     """The columns per transaction; the unrounded mean up to the last bits, which depend on the order of adding."""
     found = by_key(df, "transaction_id", *COLUMNS)
-    return {key: (*row[:-1], pytest.approx(row[-1], rel=1e-12)) for key, row in found.items()}
+    near = {key: row[-1] if row[-1] is None else pytest.approx(row[-1], rel=1e-12) for key, row in found.items()}
+    return {key: (*row[:-1], near[key]) for key, row in found.items()}
 
 
 def found_columns(dated: DataFrame, scoring: Scoring, **options) -> dict:
@@ -81,6 +88,40 @@ def test_equals_plain_windows(spark, max_user_rows, days):
     assert found_columns(dated, scoring, max_user_rows=max_user_rows) == expected
 
 
+@pytest.mark.parametrize("max_user_rows", [10**6, 50, 0])
+@pytest.mark.parametrize("days", [1, 7])
+def test_missing_amounts(spark, max_user_rows, days):
+    dated = dirty_transactions(spark, seed=20 + days, odd_amounts=True)
+    none = F.col("user_id").isin("U2") | (F.crc32(F.coalesce("user_id", F.lit("")).cast("binary")) % 3 == 0)
+    dated = dated.withColumn("amount", F.when(~none, F.col("amount")))
+    scoring = Scoring(window_days=days, active_days=1)
+    assert found_columns(dated, scoring, max_user_rows=max_user_rows) == by_transaction(plain_windows(dated, scoring))
+
+
+@pytest.mark.parametrize("max_user_rows", [100, 0])
+def test_amounts_that_are_no_number(spark, max_user_rows):
+    rows = [("A", "20240101120000", 1.0), ("B", "20240105120000", float("nan")), ("C", "20240107120000", 2.0), ("D", "20240120120000", 4.0)]
+    dated = with_transaction_date(
+        builders.transactions(spark, *({"transaction_id": i, "timestamp": t, "amount": a} for i, t, a in rows))
+    )
+    found = by_key(with_history(dated, max_user_rows=max_user_rows), "transaction_id", "montant_cumule_7j")
+    assert {k: str(v) for k, v in found.items()} == {"A": "1.0", "B": "nan", "C": "nan", "D": "4.0"}
+
+
+def test_window_of_no_days_is_refused():
+    with pytest.raises(ValueError, match="window_days"):
+        Scoring(window_days=0)
+
+
+@pytest.mark.parametrize("max_user_rows", [10**6, 50, 0])
+def test_users_are_attached_on_the_way(spark, max_user_rows):
+    dated = dirty_transactions(spark, seed=11)
+    users = spark.createDataFrame([("U1", 30), ("U2", 40), (None, 1), ("other", 2)], "user_id string, age int")
+    found = with_history(dated, max_user_rows=max_user_rows, users=users).groupBy("user_id", "age").count().collect()
+    plain = dated.join(users, "user_id", "left").groupBy("user_id", "age").count().collect()
+    assert sorted(map(str, found)) == sorted(map(str, plain))
+
+
 def test_too_many_busy_users_to_broadcast(spark, monkeypatch):
     monkeypatch.setattr(history, "MAX_BROADCAST_ROWS", 1)
     dated = dirty_transactions(spark, seed=9)

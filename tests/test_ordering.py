@@ -9,8 +9,11 @@ from basketflow.shared import as_table
 
 def scattered(spark, rows=2000):
     rng = random.Random(5)
-    data = [(rng.choice(("a", "a", "a", "b", None)), rng.randint(0, 60), i) for i in range(rows)]
-    return spark.createDataFrame(data, "g string, v int, id long").repartition(5)
+    values = [*range(60), *[None] * 5, float("nan"), float("inf")]
+    data = [(rng.choice(("a", "a", "a", "b", None)), rng.choice(values), i) for i in range(rows)]
+    data = [(g, None if v is None or g == "b" and i % 2 else float(v), i) for g, v, i in data]
+    data += [("no value", None, rows + i) for i in range(30)]
+    return spark.createDataFrame(data, "g string, v double, id long").repartition(5)
 
 
 def _same(left, right) -> bool:

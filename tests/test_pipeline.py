@@ -1,11 +1,17 @@
+from collections import Counter
 from datetime import date
+from functools import partial
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketflow.plans import pipeline
 from basketflow.plans.reuse import Reuse
-from basketflow.settings import InputPaths
-from basketflow.shared import as_table, shared_folder
+from basketflow.settings import InputPaths, Limits, Scoring
+from basketflow.shared import as_table, new_path, shared_folder
+from basketflow.sinks.writers import flatten_arrays
 from querybook.fixtures import view
 from tests.compare import oracle_connection, oracle_rows
 
@@ -46,8 +52,9 @@ def test_full_run_writes_what_the_sql_gives(spark, inputs, tmp_path):
 
     names = pipeline.run_pipeline(spark, inputs, str(tmp_path), day=date(2026, 10, 9))
     assert names == EVERYTHING
-    assert (tmp_path / "rapport_qualite_20261009").is_dir()
     checks = {
+        "rejets_products": "rejected_products",
+        "rejets_merchants": "rejected_merchants",
         "transactions_enrichies": "enriched_transactions",
         "transactions_suspectes": "suspicious_transactions",
         "kpi_marchands": "merchant_kpis",
@@ -61,9 +68,86 @@ def test_full_run_writes_what_the_sql_gives(spark, inputs, tmp_path):
             written = spark.read.parquet(f"{tmp_path}/parquet/{output}")
             columns, wanted = oracle_rows(connection, ORACLES[query])
             assert sorted(map(tuple, written.select(*columns).collect()), key=str) == sorted(wanted.elements(), key=str)
+        written = spark.read.csv(f"{tmp_path}/rapport_qualite_20261009", header=True)
+        columns, wanted = oracle_rows(connection, ORACLES["quality_report"])
+        as_text = Counter(tuple(map(str, row)) for row in wanted.elements())
+        assert Counter(map(tuple, written.select(*columns).collect())) == as_text
     for output in EVERYTHING[1:]:
-        rows = spark.read.parquet(f"{tmp_path}/parquet/{output}").count()
-        assert spark.read.csv(f"{tmp_path}/csv/{output}", header=True).count() == rows
+        parquet = spark.read.parquet(f"{tmp_path}/parquet/{output}")
+        flat = flatten_arrays(parquet)
+        csv = spark.read.schema(flat.schema).csv(f"{tmp_path}/csv/{output}", header=True, enforceSchema=False)
+        assert not empty_as_null(csv).exceptAll(empty_as_null(flat)).count() and csv.count() == flat.count()
+
+
+def empty_as_null(df):
+    return df.select(*(F.when(F.col(f.name).cast("string") != "", F.col(f.name)).alias(f.name) for f in df.schema))
+
+
+@pytest.mark.parametrize("output", pipeline.ORDER)
+def test_outputs_are_in_order(spark, output):
+    """Rows of the files, one file after the other, follow the sort keys."""
+    keys = [(key.removeprefix("-"), key.startswith("-")) for key in pipeline.ORDER[output]]
+    columns = [key for key, _ in keys]
+    rows = [tuple(rng) for rng in zip(*([3, 1, 2, 2, 1] for _ in columns), strict=True)]
+    folder = new_path(spark, "ordered")
+    df = spark.createDataFrame(rows * 40, ", ".join(f"`{c}` long" for c in columns)).repartition(7)
+    order = [F.desc(c) if falls else F.asc(c) for c, falls in keys]
+    pipeline.write_csv_and_parquet(df, folder, output, order, single_file=output in pipeline.SINGLE_FILE)
+    for path in (f"{folder}/parquet/{output}", f"{folder}/csv/{output}"):
+        files = sorted(Path(path).glob("part-*"))
+        read = spark.read.parquet if "parquet" in path else partial(spark.read.csv, header=True)
+        found = [tuple(map(int, r)) for f in files for r in read(str(f)).select(*columns).collect()]
+        assert found == sorted(found, key=lambda r: [-v if falls else v for v, (_, falls) in zip(r, keys, strict=True)])
+
+
+def tables_left(spark) -> set:
+    return set(Path(shared_folder(spark)).glob("basketflow/run-*"))
+
+
+def test_tables_of_a_run_are_released(spark, inputs, tmp_path):
+    before = tables_left(spark)
+    pipeline.run_pipeline(spark, inputs, str(tmp_path / "a"), "ingestion")
+    with pytest.raises(RuntimeError), pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pipeline, "write_outputs", failing)
+        pipeline.run_pipeline(spark, inputs, str(tmp_path / "b"), "transformation")
+    assert tables_left(spark) == before
+    pipeline.run_pipeline(spark, inputs, str(tmp_path / "c"), "ingestion", keep_tables=True)
+    assert len(tables_left(spark) - before) == 1
+
+
+def failing(*_):
+    raise RuntimeError("no space")
+
+
+def test_thresholds_from_the_command_line(spark, inputs, tmp_path, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(pipeline, "run_pipeline", lambda *_, **options: seen.update(options))
+    monkeypatch.setattr(type(spark), "stop", lambda _: None)
+    pipeline.main(["all", "--input", "i", "--output", "o", "--min-age", "18", "--max-commission", "0.4", "--window-days", "3"])
+    assert seen["limits"] == Limits(min_age=18, max_commission=0.4) and seen["scoring"] == Scoring(window_days=3)
+    pipeline.main(["all", "--input", "i", "--output", "o"])
+    assert seen["limits"] == Limits() and seen["scoring"] == Scoring()
+
+
+@pytest.mark.parametrize(("master", "allowed"), [("local", True), ("local[4]", True), ("local-cluster[2,1,512]", False), ("spark://h:1", False)])
+def test_only_one_process_may_use_a_machine_folder(monkeypatch, tmp_path, master, allowed):
+    class Context:
+        folder = None
+
+        def getCheckpointDir(self):  # noqa: N802
+            return self.folder
+
+        def setCheckpointDir(self, folder):  # noqa: N802
+            self.folder = folder
+
+    session = SimpleNamespace(conf={}, sparkContext=Context())
+    session.sparkContext.master = master
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    if allowed:
+        assert shared_folder(session)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session)
 
 
 @pytest.mark.parametrize("mode", Reuse.MODES)
