@@ -137,13 +137,14 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary, decoded_text string")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Token counts and SHA-256 of the ids' text and of the decoded bytes."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """Token counts and SHA-256 of the ids' text and of the decoded bytes, and columns to carry along."""
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
 
 

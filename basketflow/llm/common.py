@@ -10,6 +10,10 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from basketflow.shared import as_table
 
 #: Texts that a Python worker handles at a time, in characters and rows.
 SLICE_CHARS, SLICE_ROWS = 2_000_000, 1_000
@@ -88,8 +92,36 @@ def map_texts(
     return frame.mapInArrow(run, schema)
 
 
-def arrow_types(schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+def extend_texts(
+    docs: DataFrame, function: Callable[[list[str]], dict], added: str, text_col: str = "text"
+) -> DataFrame:
+    """All rows and columns of ``docs`` with further columns from its texts, row by row and without a shuffle.
+
+    ``function(texts) -> columns`` follows ``added``, whose names must not be columns of ``docs`` already.
+    """
+    ship(docs.sparkSession)
+    place = docs.columns.index(text_col)
+    more = arrow_types(added)
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL(added).fields])
+
+    def run(batches):
+        for piece in slices(batches, place):
+            columns = function(texts_of(piece, place))
+            extra = [pa.array(columns[field.name], type=field.type) for field in more]
+            yield pa.RecordBatch.from_arrays([*piece.columns, *extra], names=[*piece.schema.names, *more.names])
 
+    return docs.mapInArrow(run, schema)
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``docs`` but the rows whose id is in the one column of ``ids``; null ids stay.
+
+    The ids are counted: up to ``broadcast_rows`` they are broadcast, and more are joined by a shuffle.
+    """
+    ids = as_table(ids.toDF("__gone").where("__gone is not null").distinct(), "ids")
+    aside = F.broadcast(ids) if ids.count() <= broadcast_rows else ids
+    return docs.join(aside, docs[id_col] == aside["__gone"], "left_anti")
+
+
+def arrow_types(schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))

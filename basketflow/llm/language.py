@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.llm.chains import Steps
-from basketflow.llm.common import fold, id_and_text, map_texts
+from basketflow.llm.common import extend_texts, fold, id_and_text, map_texts
 
 UNDETERMINED = "und"
 BITS = 16
@@ -215,6 +215,18 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
     return map_texts(id_and_text(docs, id_col, text_col), run, "doc_id long, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, model: Crf, least: float = 0.35, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in some language of the model: not ``und``, and with a score of ``least`` or more."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # as in identify
+
+    def run(texts):
+        langs, scores = sent.value.predict(texts)
+        return {"__lang": langs, "__score": scores}
+
+    marked = extend_texts(docs, run, "__lang string, __score double", text_col)
+    return marked.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= least)).drop("__lang", "__score")
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     """Documents outside the held-out fold."""
     return docs.where(fold(F.col("doc_id"), 5) != 0)

@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import id_and_text, map_texts
+from basketflow.llm.common import extend_texts, id_and_text, map_texts
 
 # The base patterns.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -127,6 +127,25 @@ def scan(docs: DataFrame, vocabulary_path: str | None = None, redact: bool = Fal
     return map_texts(id_and_text(docs, id_col, text_col), run, schema)
 
 
+def cleaned(docs: DataFrame, vocabulary_path: str | None = None, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with secrets cut out of the texts and the length column, if there is one, brought up to date.
+
+    Null texts stay null, texts without secrets stay as they are.
+    """
+
+    def run(texts):
+        encoding = vocabulary(vocabulary_path)
+        found = [spans(t, encoding) for t in texts]
+        return {"__clean": [redacted(t, x) if x else None for t, x in zip(texts, found, strict=True)]}
+
+    marked = extend_texts(docs, run, "__clean string", text_col)
+    changed = F.col("__clean").isNotNull()
+    columns = {text_col: F.coalesce("__clean", text_col)}
+    if length_col in docs.columns:
+        columns[length_col] = F.when(changed, F.length("__clean").cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return marked.withColumns(columns).drop("__clean")
+
+
 def digests(found: DataFrame) -> DataFrame:
     """Counts by kind and the joined spans of ``scan``."""
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")

@@ -20,15 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import id_and_text, map_texts, ship, slices, texts_of
+from basketflow.llm.common import id_and_text, map_texts, ship, slices, texts_of, without
 from basketflow.llm.words import hash_words, mixed, windows
 from basketflow.shared import as_table
 
 WINDOW = 13
 ENTRIES_A_RANGE = 1_000_000
 ENTRIES_AT_ONCE = 2_000_000
-#: Set-aside ids are broadcast up to this number, and joined by a shuffle beyond it.
-BROADCAST_ROWS = 2_000_000
 _TAG_BITS = np.uint64(24)
 _TAG = np.uint64((1 << 24) - 1)
 
@@ -251,8 +249,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     copies = as_table(
         sequences.join(first.where("first < last"), ["n_words", "f", "g"]).where("doc_id > first").select("doc_id").distinct(), "copies"
     )
-    aside = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    originals = known.join(aside, "doc_id", "left_anti")
+    originals = without(known, copies)
     words = sequences.agg(F.sum("n_words")).first()[0] or 0
     ranges = max(1, words // ENTRIES_A_RANGE)
     hits = as_table(_hits(_anchors(originals, block, window, ranges)), "hits")

@@ -1,0 +1,75 @@
+"""The chosen-path join against all pairs, on documents with copies of every degree."""
+
+import random
+
+import pytest
+
+from basketflow.llm import minhash_dedup
+from basketflow.llm.minhash_dedup import link_documents
+
+
+def brute_force(rows):
+    sets = []
+    for _, text in rows:
+        w = (text or "").encode().lower().split()
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if sets[a] and rows[a][0] is not None and rows[b][0] is not None and 100 * common >= 85 * len(sets[a] | sets[b]):
+                parent[root(a)] = root(b)
+    out = []
+    for a, (i, _) in enumerate(rows):
+        component = i if i is None else min(rows[b][0] for b in range(len(rows)) if root(b) == root(a) and rows[b][0] is not None)
+        out.append((i, len(sets[a]), component, i == component))
+    return out
+
+
+def corpus(seed: int, groups: int = 12, passage: bool = True):
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    line = rng.choices(words, k=40)
+    rows = []
+    for _ in range(groups):
+        base = rng.choices(words, k=rng.choice([3, 30, 120, 400]))
+        for _ in range(rng.choice([1, 1, 3, 8, 25])):
+            text = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, 6])):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            if passage and rng.random() < 0.3:
+                text = text + line
+            rows.append((rng.randrange(10**9), " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_all_pairs(documents, seed):
+    rows = corpus(seed)
+    assert sorted(map(tuple, link_documents(documents(rows)).collect())) == sorted(brute_force(rows))
+
+
+def test_large_nodes_equal_all_pairs(documents, monkeypatch):
+    """Small nodes of two classes and few levels send rows through branching, stars and blocks."""
+    monkeypatch.setattr(minhash_dedup, "SMALL", 2)
+    monkeypatch.setattr(minhash_dedup, "LEVELS", 2)
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
+    rows = corpus(3, groups=6)
+    assert sorted(map(tuple, link_documents(documents(rows)).collect())) == sorted(brute_force(rows))
+
+
+def test_odd_texts(documents, odd_texts):
+    rows = [*odd_texts, (20, "NO ID but SOME words in a row"), (21, "Twice the same row of words here")]
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in link_documents(documents(rows)).collect()}
+    assert {(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 5, True), (6, 3, 6, True), (21, 3, 6, False)} <= got
+    assert (20, 4, 20, True) in got and (None, 4, 20, False) in got
+
+
+def test_empty_table(documents):
+    assert link_documents(documents([])).count() == 0
