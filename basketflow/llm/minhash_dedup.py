@@ -5,12 +5,14 @@ each node choosing one coordinate (sometimes two, so that a pair at the threshol
 the class's value there the child. Several independent trees start at different coordinates. In small nodes all
 classes are compared by their minwise values, and the pairs that pass on their full shingle sets. In a large node
 all are first compared with one of its classes; as only components are wanted, it is then finished if that connects
-it, and otherwise branches on. Nodes that stay large to the last level are compared block by block.
+it, and otherwise branches on. That takes apart what has little in common; nodes that stay large are groups of close
+texts. Their shingle sets are compared block by block, two blocks a task, and a task returns no more than a forest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,35 +20,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.llm.common import arrow_types, id_and_text, map_texts, ship
-from basketflow.llm.graph import components
+from basketflow.llm.graph import components, forest
 from basketflow.llm.words import mixed, odd, shingle_sets
 from basketflow.shared import as_table
 
-COORDINATES = 64
-TREES = 16
-SMALL = 64
-LEVELS = 8
-BLOCK = 256
+#: Minwise values that trees branch on, and further ones of which one byte is kept for estimates.
+COORDINATES, FURTHER = 64, 192
+TREES = 10
+#: Nodes of at most so many classes are compared at once; those of at most MIDDLE by blocks, from level BRANCHED on.
+SMALL, MIDDLE = 64, 16_384
+BRANCHED, LEVELS = 2, 12
+BLOCK = 512
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Coordinates that must agree before sets are compared; a pair at the threshold fails with probability below 1e-5.
-AGREE = 40
+AGREE = 190
 BROADCAST_ROWS = 2_000_000
 
-_FACTORS = odd(COORDINATES, 17)
+_FACTORS = odd(COORDINATES + FURTHER, 17)
 _ROOTS = np.arange(TREES) * (COORDINATES // TREES)
+#: Bytes of the values of a class.
+_WIDE, _ALL = 4 * COORDINATES, 4 * COORDINATES + FURTHER
 
 
 def _minima(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Minwise values of each set, texts x coordinates; all ones for an empty set."""
-    found = np.full((len(counts), COORDINATES), 0xFFFFFFFF, dtype=np.uint32)
+    """Minwise values of each set, texts x bytes; all ones for an empty set."""
+    found = np.full((len(counts), COORDINATES + FURTHER), 0xFFFFFFFF, dtype=np.uint32)
     full = np.flatnonzero(counts)
     if len(full):
         starts = (np.cumsum(counts) - counts)[full]
+        spread = hashes ^ (hashes >> np.uint64(29))
         for k, factor in enumerate(_FACTORS):
-            values = ((hashes ^ (hashes >> np.uint64(29))) * factor) >> np.uint64(32)
+            values = (spread * factor) >> np.uint64(32)
             found[full, k] = np.minimum.reduceat(values.astype(np.uint32), starts)
-    return found
+    wide = np.ascontiguousarray(found[:, :COORDINATES]).view(np.uint8).reshape(len(counts), _WIDE)
+    return np.concatenate([wide, found[:, COORDINATES:].astype(np.uint8)], axis=1)
 
 
 def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -69,7 +77,12 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def _rows(values: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint32).reshape(len(values), COORDINATES)
+    return np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint8).reshape(len(values), _ALL)
+
+
+def _wide(rows: np.ndarray) -> np.ndarray:
+    """The values that trees branch on."""
+    return np.ascontiguousarray(rows[:, :_WIDE]).view(np.uint32)
 
 
 def _child(path: np.ndarray, coordinate: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -82,7 +95,7 @@ def _roots(classes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            minima = _rows(batch.column(1))
+            minima = _wide(_rows(batch.column(1)))
             for tree, coordinate in enumerate(_ROOTS):
                 path = np.full(len(minima), tree, dtype=np.uint64)
                 keys = _child(path, np.full(len(minima), coordinate), minima[:, coordinate])
@@ -98,7 +111,7 @@ def _branched(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             path = batch.column(0).to_numpy().view(np.uint64)
-            minima = _rows(batch.column(2))
+            minima = _wide(_rows(batch.column(2)))
             for turn in (0, 1):
                 chosen = mixed(path + np.uint64(turn + 1))
                 go = np.arange(len(path)) if turn == 0 else np.flatnonzero(mixed(path + np.uint64(9)) % np.uint64(1000) < 1000 * (100 / PERCENT - 1))
@@ -117,9 +130,19 @@ def _shared_nodes(rows: DataFrame, level: int) -> DataFrame:
     return rows.join(stats.where("size > 1"), "node")
 
 
+def _stars(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each class and the one chosen from its node."""
+    return rows.where("class != pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
+
+
 def _similar(sizes_a, sizes_b, minima_a, minima_b) -> np.ndarray:
     fits = 100 * np.minimum(sizes_a, sizes_b) >= PERCENT * np.maximum(sizes_a, sizes_b)
-    fits[fits] = (minima_a[fits] == minima_b[fits]).sum(axis=1) >= AGREE
+    near = np.flatnonzero(fits)
+    for begin in range(0, len(near), 20_000):
+        at = near[begin : begin + 20_000]
+        a, b = minima_a[at], minima_b[at]
+        same = (_wide(a) == _wide(b)).sum(axis=1) + (a[:, _WIDE:] == b[:, _WIDE:]).sum(axis=1)
+        fits[at] = same >= AGREE
     return fits
 
 
@@ -174,40 +197,55 @@ def _compared(rows: DataFrame) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long")
 
 
-def _by_blocks(rows: DataFrame) -> DataFrame:
-    """As ``_compared`` for nodes of any size: every two blocks of a node meet in a task of their own."""
+def _common(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Number of common shingles of every two sets, given one after the other with their sizes."""
+    n = len(counts)
+    owner = np.repeat(np.arange(n), counts)
+    order = np.argsort(first, kind="stable")
+    values, owner = first[order], owner[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, bool)
+    column = np.cumsum(new) - 1
+    several = np.bincount(column, minlength=1)[column] > 1
+    owner, column = owner[several], column[several]
+    column = np.cumsum(np.concatenate([[0], np.diff(column) != 0])) if len(column) else column
+    total = np.zeros((n, n), dtype=np.float64)
+    for low in range(0, int(column.max(initial=-1)) + 1, 4096):
+        a, b = np.searchsorted(column, (low, low + 4096))
+        member = np.zeros((n, 4096), dtype=np.float32)
+        member[owner[a:b], column[a:b] - low] = 1
+        total += member @ member.T
+    return total
+
+
+def _by_blocks(rows: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """A forest of links between components in nodes of any size: every two blocks of a node meet in a task of their own."""
     ship(rows.sparkSession)
+    sets = _sets(rows.select("class").distinct(), docs, classes)
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     placed = (
-        rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+        rows.select("node", "class", "component", blocks.alias("blocks"), F.pmod(F.xxhash64("class"), blocks).cast("int").alias("own"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class", "component", "n", "minima")
+        .select("node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "class", "component")
+        .join(sets, "class")
     )
     schema = arrow_types("a long, b long")
 
     def compare(key, table):
-        low, high = key[1].as_py(), key[2].as_py()
-        own, ids, group, sizes = (table[k].to_numpy() for k in ("own", "class", "component", "n"))
-        minima = _rows(table["minima"].combine_chunks()) if table.num_rows else np.zeros((0, COORDINATES), np.uint32)
-        found = [np.zeros((2, 0), dtype=np.int64)]
-        right = np.flatnonzero(own == high)
-        for i in np.flatnonzero(own == low):
-            j = right[(group[right] != group[i]) & ((ids[right] > ids[i]) | (low != high))]
-            j = j[_similar(np.full(len(j), sizes[i]), sizes[j], np.broadcast_to(minima[i], (len(j), COORDINATES)), minima[j])]
-            found.append(np.stack([np.full(len(j), ids[i]), ids[j]]))
-        a, b = np.concatenate(found, axis=1)
-        return pa.Table.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+        ids, group = table["class"].to_numpy(), table["component"].to_numpy()
+        sets_of = table["shingles"].to_pylist()
+        counts = np.array([len(x) // 8 for x in sets_of], dtype=np.int64)
+        common = _common(np.frombuffer(b"".join(sets_of), dtype=np.uint64), counts)
+        linked = 100 * common >= PERCENT * (counts[:, None] + counts[None, :] - common)
+        a, b = np.nonzero(np.triu(linked & (group[:, None] != group[None, :]), 1))
+        child, root = forest(len(ids), a, b)
+        return pa.Table.from_arrays([pa.array(ids[child]), pa.array(ids[root])], schema=schema)
 
     return placed.groupBy("node", "low", "high").applyInArrow(compare, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs that are links on their full shingle sets."""
-    spark = pairs.sparkSession
-    ship(spark)
-    wanted = as_table(
-        pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", F.col("f").alias("set_hash")), "class"), "wanted"
-    )
+def _sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """class and shingles of the classes in ``wanted``, from the texts of their smallest documents."""
+    wanted = as_table(wanted.join(classes.select("class", F.col("f").alias("set_hash")), "class"), "wanted")
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     texts = docs.join(ids, docs["doc_id"] == ids["class"]).select("doc_id", "text", "set_hash")
 
@@ -222,7 +260,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
             "shingles": pa.array([raw[8 * (e - n) : 8 * e] for e, n in zip(ends, counts, strict=True)], pa.binary()),
         }
 
-    sets = as_table(map_texts(texts, run, "class long, same boolean, shingles binary").where("same").drop("same"), "sets")
+    # rows that repeat an id with another text are no member of the class; equal rows are needed once
+    found = map_texts(texts, run, "class long, same boolean, shingles binary").where("same").drop("same")
+    return as_table(found, "sets").dropDuplicates(["class"])
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that are links on their full shingle sets."""
+    ship(pairs.sparkSession)
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), docs, classes)
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b")
 
     def compare(batches):
@@ -253,28 +299,24 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         signed.where("n > 0 and doc_id is not null").groupBy("n", "f", "g").agg(F.min("doc_id").alias("class"), F.min("minima").alias("minima")), "classes"
     )
     rows = as_table(_shared_nodes(_roots(classes), 0), "nodes")
-    stars = rows.where("class != pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = as_table(_confirmed(as_table(_estimated(stars, classes), "pairs"), docs, classes), "links")
+    links = as_table(_confirmed(as_table(_estimated(_stars(rows), classes), "pairs"), docs, classes), "links")
     labels = as_table(components(links), "labels")
-    level = 0
-    while True:
-        level += 1
-        mixed_rows = as_table(_mixed_nodes(rows, labels, classes), "mixed")
-        candidates = _compared(mixed_rows.where(F.col("size") <= SMALL))
-        large = mixed_rows.where(F.col("size") > SMALL)
+    for level in range(LEVELS + 1):
+        current = as_table(_mixed_nodes(rows, labels, classes), "mixed")
+        compared = _compared(current.where(F.col("size") <= SMALL))
+        settled = MIDDLE if level < LEVELS else float("inf")
+        in_blocks = current.where((F.col("size") > SMALL) & (F.col("size") <= settled) & F.lit(level >= BRANCHED))
+        large = current.where((F.col("size") > (SMALL if level < BRANCHED else settled)))
         more = not large.isEmpty()
-        if more and level == LEVELS:
-            candidates, more = candidates.unionAll(_by_blocks(large)), False
-        elif more:
-            rows = as_table(_shared_nodes(_branched(large), level), "nodes")
-            stars = rows.where((F.col("size") > SMALL) & (F.col("class") != F.col("pivot"))).select(F.col("class").alias("a"), F.col("pivot").alias("b"))
-            candidates = candidates.unionAll(_estimated(stars.distinct(), classes))
-        candidates = as_table(candidates.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-        if not candidates.isEmpty():
-            new = as_table(_confirmed(candidates, docs, classes), "links")
-            if not new.isEmpty():
-                links = links.unionAll(new)
-                labels = as_table(components(links), "labels")
+        if more:
+            rows = as_table(_shared_nodes(_branched(large), level + 1), "nodes")
+            compared = compared.unionAll(_estimated(_stars(rows), classes))
+        candidates = as_table(compared.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+        new = [] if candidates.isEmpty() else [_confirmed(candidates, docs, classes)]
+        new += [] if in_blocks.isEmpty() else [_by_blocks(in_blocks, docs, classes)]
+        if new:
+            links = as_table(reduce(DataFrame.unionAll, new, links), "links")
+            labels = as_table(components(links), "labels")
         if not more:
             break
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("n", "f", "g", F.coalesce("component", "class").alias("component"))

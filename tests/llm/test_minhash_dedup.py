@@ -55,10 +55,12 @@ def test_equals_all_pairs(documents, seed):
     assert sorted(map(tuple, link_documents(documents(rows)).collect())) == sorted(brute_force(rows))
 
 
-def test_large_nodes_equal_all_pairs(documents, monkeypatch):
-    """Small nodes of two classes and few levels send rows through branching, stars and blocks."""
+@pytest.mark.parametrize("middle", [4, 10_000])
+def test_large_nodes_equal_all_pairs(documents, monkeypatch, middle):
+    """Small nodes of two classes and small blocks send rows through branching, stars and blocks."""
     monkeypatch.setattr(minhash_dedup, "SMALL", 2)
-    monkeypatch.setattr(minhash_dedup, "LEVELS", 2)
+    monkeypatch.setattr(minhash_dedup, "MIDDLE", middle)
+    monkeypatch.setattr(minhash_dedup, "LEVELS", 3)
     monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
     rows = corpus(3, groups=6)
     assert sorted(map(tuple, link_documents(documents(rows)).collect())) == sorted(brute_force(rows))
