@@ -132,8 +132,8 @@ def _anchors(docs: DataFrame, block: int, window: int, ranges: int) -> DataFrame
 
 
 def _hits(packets: DataFrame) -> DataFrame:
-    """doc_id and tags: anchors of a document that another document has too, one of them as an index block."""
-    schema = pa.schema([("doc_id", pa.int64()), ("tags", pa.binary())])
+    """doc_id and tags of the sequences that another document has too: those with an index block among them, and others."""
+    schema = pa.schema([("doc_id", pa.int64()), ("tags", pa.binary()), ("others", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
         kinds = table["kind"].to_pylist()
@@ -144,26 +144,32 @@ def _hits(packets: DataFrame) -> DataFrame:
         tags, ids, index = np.concatenate(tags), np.concatenate(ids), np.concatenate(index)
         met = kind < 2
         found, inverse = np.unique(tags[met], return_inverse=True)
-        several = np.bincount(inverse, minlength=len(found)) > 1
+        several = (np.bincount(inverse, minlength=len(found)) > 1)[inverse] & (kind[met] == 0)
         indexed = np.bincount(inverse, index[met], len(found)) > 0
-        hit = (several & indexed)[inverse]
-        single = kind[met] == 0
-        tags = np.concatenate([tags[met][hit & single], tags[kind == 2]])
-        ids = np.concatenate([ids[met][hit & single], ids[kind == 2]])
+        tags = np.concatenate([tags[met][several], tags[kind == 2]])
+        ids = np.concatenate([ids[met][several], ids[kind == 2]])
+        anchors = indexed[np.searchsorted(found, tags)]
         order = np.argsort(ids, kind="stable")
-        tags, ids = tags[order], ids[order]
+        tags, ids, anchors = tags[order], ids[order], anchors[order]
         cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1], [True]])) if len(ids) else np.zeros(1, np.int64)
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
         return pa.Table.from_arrays(
-            [pa.array(ids[cuts[:-1]]), pa.array([_three_bytes(tags[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], schema=schema
+            [
+                pa.array(ids[cuts[:-1]]),
+                pa.array([_three_bytes(tags[a:b][anchors[a:b]]) for a, b in spans], pa.binary()),
+                pa.array([_three_bytes(tags[a:b][~anchors[a:b]]) for a, b in spans], pa.binary()),
+            ],
+            schema=schema,
         )
 
-    return packets.groupBy("range").applyInArrow(run, "doc_id long, tags binary")
+    return packets.groupBy("range").applyInArrow(run, "doc_id long, tags binary, others binary")
 
 
 def _repeat_windows(docs: DataFrame, hits: DataFrame, block: int, window: int) -> DataFrame:
-    """Windows around anchors: their 128-bit hash, document and first word, or no hash where the task knows them as covered."""
-    near = hits.groupBy("doc_id").agg(F.collect_list("tags").alias("tags"))
-    rows = docs.join(near, "doc_id").select("doc_id", "text", "tags")
+    """Windows around anchors: 128-bit hash, document and first word; without a hash where the task knows them as covered,
+    all those of a document together."""
+    near = hits.groupBy("doc_id").agg(F.collect_list("tags").alias("tags"), F.collect_list("others").alias("others"))
+    rows = docs.join(near, "doc_id").select("doc_id", "text", "tags", "others")
 
     def windows_of(batches):
         held, size = [], 0
@@ -172,16 +178,21 @@ def _repeat_windows(docs: DataFrame, hits: DataFrame, block: int, window: int) -
             words, counts = hash_words(texts)
             anchors, first = windows(words, counts, block)
             owner = np.repeat(np.arange(len(counts)), counts)
-            mine = np.zeros(len(words) + window, dtype=bool)
             # the tags of a document are matched together with its number in the piece
             key = owner[first].astype(np.int64) << 24 | (anchors & _TAG).astype(np.int64)
-            wanted = [np.int64(k) << 24 | _from_three_bytes(b"".join(x)).astype(np.int64) for k, x in enumerate(piece.column(2).to_pylist())]
-            mine[first] = np.isin(key, np.concatenate(wanted))
+            through = []
+            for column in (2, 3):
+                wanted = [np.int64(k) << 24 | _from_three_bytes(b"".join(x)).astype(np.int64) for k, x in enumerate(piece.column(column).to_pylist())]
+                mine = np.zeros(len(words) + window, dtype=bool)
+                mine[first] = np.isin(key, np.concatenate(wanted))
+                through.append(np.concatenate([[0], np.cumsum(mine)]))
             whole, begin = windows(words, counts, window, seed=5)
             other, _ = windows(hash_words(texts, seed=2)[0], counts, window, seed=6)
-            through = np.concatenate([[0], np.cumsum(mine)])
-            near_anchor = through[begin + window - block + 1] > through[begin]
-            begin, whole, other = begin[near_anchor], whole[near_anchor], other[near_anchor]
+            # around an anchor, a repeat goes on as long as every sequence is shared
+            inner = window - block + 1
+            anchored, others = (x[begin + inner] - x[begin] for x in through)
+            repeats = (anchored > 0) & (anchored + others == inner)
+            begin, whole, other = begin[repeats], whole[repeats], other[repeats]
             place = begin - (np.cumsum(counts) - counts)[owner[begin]]
             held.append((whole.view(np.int64), other.view(np.int64), piece.column(0).to_numpy()[owner[begin]], place))
             size += len(begin)
@@ -197,21 +208,28 @@ def _repeat_windows(docs: DataFrame, hits: DataFrame, block: int, window: int) -
             f, g, ids, place = f[order], g[order], ids[order], place[order]
             new = np.concatenate([[True], (f[1:] != f[:-1]) | (g[1:] != g[:-1])])
             least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
-            for begin in range(0, len(ids), 100_000):
-                part = slice(begin, begin + 100_000)
-                covered = ids[part] > least[part]
+            covered = ids > least
+            open_ = np.flatnonzero(~covered)
+            for begin in range(0, len(open_), 100_000):
+                at = open_[begin : begin + 100_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(f[part], mask=covered), pa.array(g[part], mask=covered), pa.array(ids[part]), pa.array(place[part].astype(np.int32))],
-                    names=["f", "g", "doc_id", "place"],
+                    [pa.array(f[at]), pa.array(g[at]), pa.array(ids[at]), pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32), pa.array(place[at].astype(np.int32)))],
+                    names=["f", "g", "doc_id", "places"],
                 )
+            order = np.flatnonzero(covered)
+            order = order[np.lexsort((place[order], ids[order]))]
+            cuts = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) != 0, [True]])) if len(order) else np.zeros(1, np.int64)
+            none = pa.nulls(len(cuts) - 1, pa.int64())
+            lists = pa.ListArray.from_arrays(cuts.astype(np.int32), pa.array(place[order].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(ids[order[cuts[:-1]]]), lists], names=["f", "g", "doc_id", "places"])
 
     ship(docs.sparkSession)
-    return rows.mapInArrow(run, "f long, g long, doc_id long, place int")
+    return rows.mapInArrow(run, "f long, g long, doc_id long, places array<int>")
 
 
 def _covered(found: DataFrame) -> DataFrame:
-    """doc_id and place of windows that a smaller document has: rows of a window stream by, smallest document first."""
-    spread = found.repartition(F.coalesce("f", F.xxhash64("doc_id", "place"))).sortWithinPartitions("f", "g", "doc_id")
+    """doc_id and places of windows that a smaller document has: rows of a window stream by, smallest document first."""
+    spread = found.repartition(F.coalesce("f", F.xxhash64("doc_id", "places"))).sortWithinPartitions("f", "g", "doc_id")
 
     def run(batches):
         last = None
@@ -228,9 +246,9 @@ def _covered(found: DataFrame) -> DataFrame:
             group = np.cumsum(new) - 1
             covered = known | (ids > least[group])
             last = None if known[-1] else (f[-1], g[-1], least[group[-1]])
-            yield batch.select(["doc_id", "place"]).filter(pa.array(covered))
+            yield batch.select(["doc_id", "places"]).filter(pa.array(covered))
 
-    return spread.mapInArrow(run, "doc_id long, place int")
+    return spread.mapInArrow(run, "doc_id long, places array<int>")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,7 +274,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of the step before
     windows_found = as_table(_covered(_repeat_windows(originals, hits, block, window)), "covered")
     spark.sparkContext._jvm.System.gc()
-    places = windows_found.groupBy("doc_id").agg(F.collect_list("place").alias("places"), F.lit(False).alias("copy")).unionAll(
+    places = windows_found.select("doc_id", "places", F.lit(False).alias("copy")).unionAll(
         copies.select("doc_id", F.lit(None).cast("array<int>"), F.lit(True))
     )
     merged = places.groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places"), F.max("copy").alias("copy"))
