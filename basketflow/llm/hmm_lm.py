@@ -194,9 +194,10 @@ def _gathered(batches, classes_at: int):
 
 
 def _first_model(shares: np.ndarray, states: int, seed: int) -> Hmm:
+    """Random emissions around the shares; states tend to stay, so that few rounds tell kinds of text apart."""
     rng = np.random.default_rng(seed)
     emit = (shares + 1e-9)[:, None] * rng.gamma(1.0, 1.0, (len(shares), states))
-    return Hmm(np.full(states, 1 / states), 0.5 * np.eye(states) + 0.5 / states, emit / emit.sum(axis=0))
+    return Hmm(np.full(states, 1 / states), 0.9 * np.eye(states) + 0.1 / states, emit / emit.sum(axis=0))
 
 
 def baum_welch(chains: DataFrame, states: int = 8, rounds: int = 4, seed: int = 5) -> Hmm:
@@ -259,7 +260,9 @@ def baum_welch(chains: DataFrame, states: int = 8, rounds: int = 4, seed: int =
     return model
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
+def score(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2, states: int = 8, rounds: int = 4
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row, both in log10.
 
     The model learns from rows whose crc32 of the id modulo ``folds`` is not ``held``; a null id is learned from.
@@ -276,7 +279,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     known = lexicon(counts)
     sent = spark.sparkContext.broadcast(known)  # at most FREQUENT tokens
     table = as_table(encoded(rows, sent).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    model = baum_welch(table.where(~F.col("held_out")))
+    model = baum_welch(table.where(~F.col("held_out")), states, rounds)
     sent_model = spark.sparkContext.broadcast(model)  # of fixed size
 
     def forward(batches):

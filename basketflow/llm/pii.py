@@ -34,7 +34,7 @@ PERSON = r"(?<![\p{L}])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Madame|Monsieur|Señor|Se
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "local", "spelled", "person")
 VOTES = ("v_format", "v_plausible", "v_gazetteer", "v_context", "v_against", "v_ends")
-#: Candidates outside the strict formats need this probability and two votes for them.
+#: Candidates outside the strict formats need this probability, two votes for them and none against.
 SURE = 0.9
 
 # Gazetteers and context words.
@@ -259,7 +259,7 @@ def find(docs: DataFrame, sure: float = SURE, id_col: str = "doc_id", text_col:
     """doc_id and spans (kind, begin, end in characters, base, probability) of every row, by kind and begin.
 
     Null texts count as empty and have no spans. Rows that repeat give repeated results; a null id stays null.
-    A span that the classifier adds has at least two votes for it and touches no span of a strict format.
+    A span that the classifier adds has at least two votes for it, none against, and touches no span of a strict format.
     """
     found = as_table(candidates(docs, id_col, text_col), "candidates")
     model = fit(found)
@@ -267,13 +267,13 @@ def find(docs: DataFrame, sure: float = SURE, id_col: str = "doc_id", text_col:
         "spans",
         lambda s: F.struct(
             s["kind"].alias("kind"), s["begin"].alias("begin"), s["end"].alias("end"), s["base"].alias("base"),
-            model.probability(s).alias("probability"), sum((F.when(s[v] == 1, 1).otherwise(0) for v in VOTES), F.lit(0)).alias("votes_for"),
+            model.probability(s).alias("probability"), *(sum((F.when(s[v] == value, 1).otherwise(0) for v in VOTES), F.lit(0)).alias(name) for name, value in (("votes_for", 1), ("votes_against", 0))),
         ),
     )
     base = F.filter("scored", lambda s: s["base"])
     added = F.filter(
         "scored",
-        lambda s: ~s["base"] & (s["probability"] >= sure) & (s["votes_for"] >= 2) & ~F.exists("strict", lambda b: (b["begin"] < s["end"]) & (s["begin"] < b["end"])),
+        lambda s: ~s["base"] & (s["probability"] >= sure) & (s["votes_for"] >= 2) & (s["votes_against"] == 0) & ~F.exists("strict", lambda b: (b["begin"] < s["end"]) & (s["begin"] < b["end"])),
     )
     rows = found.withColumn("scored", scored).withColumn("strict", base).withColumn("more", added)
     order = F.create_map(*(F.lit(x) for i, kind in enumerate(KINDS) for x in (kind, i)))

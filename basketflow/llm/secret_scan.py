@@ -67,9 +67,9 @@ def identifier(run: str) -> bool:
 
 
 def _mixed_often(run: str) -> bool:
-    """Changes between letters and digits, or of case, at more than every fourth character."""
+    """Changes between letters and digits, or to upper case, at more than every fourth character."""
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "-" for c in run]
-    return 4 * sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) > len(run)
+    return 4 * sum(a != b and a + b != "ul" for a, b in zip(kinds, kinds[1:], strict=False)) > len(run)
 
 
 def random_spans(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> list[tuple[int, int, str]]:

@@ -45,7 +45,7 @@ def test_base_scores(documents, monkeypatch, frequent):
 
 def test_model_beats_the_base_on_held_out_text(documents):
     rng = random.Random(3)
-    rows = [(i, " ".join(f"{'ab'[k % 2]}{rng.randrange(30)}" for k in range(60))) for i in range(150)]
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{rng.randrange(30)}" for _ in range(60))) for i in range(150)]
     held = score(documents(rows)).where("held_out").collect()
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 5 * len(held)
 
