@@ -94,15 +94,16 @@ def encode(
     docs: DataFrame,
     vocabulary: str | None = None,
     offsets: bool = False,
+    decoded: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id and ids of every row, with ``offsets`` also begins and ends in characters.
+    """doc_id and ids of every row, with ``offsets`` also begins and ends in characters, with ``decoded`` the bytes again.
 
     ``vocabulary`` is the path of a byte-level BPE file of the tokenizers library, the same on every
     executor. Null and empty texts have no ids; rows that repeat or have a null id stay as they are.
     """
-    schema = "doc_id long, ids array<int>" + ", begins array<int>, ends array<int>" * offsets
+    schema = "doc_id long, ids array<int>" + ", begins array<int>, ends array<int>" * offsets + ", decoded binary" * decoded
 
     def run(piece, texts):
         own = codec(vocabulary)
@@ -111,6 +112,8 @@ def encode(
         if offsets:
             pairs = [own.offsets(text, x) for text, x in zip(texts, ids, strict=True)]
             columns |= {n: _lists([p[k] for p in pairs], pa.int32()) for k, n in enumerate(("begins", "ends"))}
+        if decoded:
+            columns["decoded"] = pa.array([own.decode(x) for x in ids], pa.binary())
         return columns
 
     return map_texts(id_and_text(docs, id_col, text_col), run, schema)

@@ -33,14 +33,15 @@ _TAG = np.uint64((1 << 24) - 1)
 
 def _packed_ids(ids: np.ndarray) -> bytes:
     """Ascending ids as differences of the smallest width that holds them."""
-    gaps = np.diff(ids, prepend=ids[:1])
-    width = next(w for w in (2, 4, 8) if w == 8 or not len(gaps) or gaps.max() < 1 << (8 * w))
-    return bytes([width]) + ids[:1].astype(np.int64).tobytes() + gaps.astype(f"u{width}").tobytes()
+    raw = ids.astype(np.int64).view(np.uint64)
+    gaps = np.diff(raw, prepend=raw[:1])
+    width = next(w for w in (2, 4, 8) if w == 8 or not len(gaps) or int(gaps.max()) < 1 << (8 * w))
+    return bytes([width]) + raw[:1].tobytes() + gaps.astype(f"u{width}").tobytes()
 
 
 def _unpacked_ids(raw: bytes) -> np.ndarray:
-    gaps = np.frombuffer(raw, dtype=f"u{raw[0]}", offset=9).astype(np.int64)
-    return np.frombuffer(raw, dtype=np.int64, count=1, offset=1)[0] + np.cumsum(gaps)
+    gaps = np.frombuffer(raw, dtype=f"u{raw[0]}", offset=9).astype(np.uint64)
+    return (np.frombuffer(raw, dtype=np.uint64, count=1, offset=1) + np.cumsum(gaps)).view(np.int64)
 
 
 def _three_bytes(tags: np.ndarray) -> bytes:

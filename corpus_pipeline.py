@@ -40,9 +40,11 @@ def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with the digests that show that they decode to its text."""
-    decoded = byte_bpe.decode(byte_bpe.encode(docs))
-    return byte_bpe.digests(decoded, "ids")
+    """Token ids of each document, with the digests that show that they decode to its text.
+
+    The same worker encodes and decodes, so that a task holds one vocabulary.
+    """
+    return byte_bpe.digests(byte_bpe.encode(docs, decoded=True), "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -67,6 +67,8 @@ def test_query_on_odd_texts(spark, documents, odd_texts, reference):
 
 def test_offsets_column_and_broken_characters(spark, documents):
     row = byte_bpe.encode(documents([(1, "é🎉")]), offsets=True).first()
+    both = byte_bpe.encode(documents([(1, "é🎉")]), decoded=True).first()
+    assert bytes(both["decoded"]).decode() == "é🎉" and both["ids"] == row["ids"]
     assert row["begins"][0] == 0 and row["ends"][-1] == 2
     cut = byte_bpe.decode(spark.createDataFrame([(1, row["ids"][:-1]), (2, None)], "doc_id long, ids array<int>")).orderBy("doc_id").collect()
     assert bytes(cut[0]["decoded"]) == b"".join(byte_bpe.codec().tokens[i] for i in row["ids"][:-1])
