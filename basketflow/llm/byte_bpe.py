@@ -17,7 +17,7 @@ from basketflow.llm.common import id_and_text, map_texts, ship
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Pieces whose ids a worker remembers; it starts anew when they are more.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 def byte_characters() -> dict[int, str]:

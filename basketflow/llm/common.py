@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from basketflow.shared import as_table
 
 #: Texts that a Python worker handles at a time, in characters and rows.
-SLICE_CHARS, SLICE_ROWS = 2_000_000, 1_000
+SLICE_CHARS, SLICE_ROWS = 1_000_000, 1_000
 
 
 _SHIPPED: set[str] = set()
