@@ -25,7 +25,7 @@ from basketflow.llm.words import hash_words, mixed, windows
 from basketflow.shared import as_table
 
 WINDOW = 13
-ENTRIES_A_RANGE = 1_000_000
+ENTRIES_A_RANGE = 2_500_000
 ENTRIES_AT_ONCE = 2_000_000
 _TAG_BITS = np.uint64(24)
 _TAG = np.uint64((1 << 24) - 1)
