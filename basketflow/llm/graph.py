@@ -49,7 +49,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 def _large_star(stars: DataFrame) -> DataFrame:
     both = stars.unionAll(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(stars: DataFrame) -> DataFrame:

@@ -301,6 +301,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = as_table(_shared_nodes(_roots(classes), 0), "nodes")
     links = as_table(_confirmed(as_table(_estimated(_stars(rows), classes), "pairs"), docs, classes), "links")
     labels = as_table(components(links), "labels")
+    more_links = []
     for level in range(LEVELS + 1):
         current = as_table(_mixed_nodes(rows, labels, classes), "mixed")
         compared = _compared(current.where(F.col("size") <= SMALL))
@@ -312,13 +313,14 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             rows = as_table(_shared_nodes(_branched(large), level + 1), "nodes")
             compared = compared.unionAll(_estimated(_stars(rows), classes))
         candidates = as_table(compared.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-        new = [] if candidates.isEmpty() else [_confirmed(candidates, docs, classes)]
-        new += [] if in_blocks.isEmpty() else [_by_blocks(in_blocks, docs, classes)]
-        if new:
-            links = as_table(reduce(DataFrame.unionAll, new, links), "links")
-            labels = as_table(components(links), "labels")
+        if not candidates.isEmpty():
+            more_links.append(as_table(_confirmed(candidates, docs, classes), "links"))
+        if not in_blocks.isEmpty():
+            more_links.append(as_table(_by_blocks(in_blocks, docs, classes), "links"))
         if not more:
             break
+    if more_links:  # components of the stars only spared comparisons; these are those of all links
+        labels = components(reduce(DataFrame.unionAll, more_links, links))
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("n", "f", "g", F.coalesce("component", "class").alias("component"))
     joined = signed.where("n > 0").join(named, ["n", "f", "g"], "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("component_id"))
     empty = signed.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
