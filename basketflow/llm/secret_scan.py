@@ -38,7 +38,8 @@ _RUN = np.array([chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/=_-") fo
 _CLASSES = tuple(re.compile(x) for x in ("[a-z]", "[A-Z]", "[0-9]"))
 _DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-_NAME = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,6})(?:[-_/=+]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,6}))*[-_/=+]*")
+#: Words and numbers with separators between; every repetition is possessive, so that the test is linear.
+_NAME = re.compile(r"(?![-_/=+])(?:[A-Z]*+[a-z]{2,}+|[A-Z]{2,}+|[0-9]++|[-_/=+]++)++")
 
 
 @lru_cache(maxsize=2)

@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from basketflow.llm import secret_scan
 from basketflow.llm.secret_scan import ACCESS, ASSIGN, HEX, base_spans, cleaned, digests, identifier, redacted, scan, spans, vocabulary
 
 
@@ -34,6 +36,20 @@ def test_random_strings_are_found_and_names_are_not():
     assert identifier("HttpServerConnection2Factory")
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text("aBC1-", min_size=1, max_size=12))
+def test_names_are_what_the_plain_expression_takes(run):
+    unit = "(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,6})"
+    assert bool(secret_scan._NAME.fullmatch(run)) == bool(re.fullmatch(f"{unit}(?:[-_/=+]*{unit})*[-_/=+]*", run))
+
+
+def test_names_are_tested_in_linear_time():
+    begin = time.monotonic()
+    for run in ("1" * 100 + "a", "1" * 100_000 + "a", "word" * 20_000 + "-A-2", "some-long-slug-of-words-" * 5_000 + "A-2", "AB" * 50_000 + "a"):
+        assert not identifier(run)
+    assert time.monotonic() - begin < 5
+
+
 def test_redacted():
     assert redacted("a token=abcdef12 b", base_spans("a token=abcdef12 b")) == "a <SECRET> b"
     assert redacted("xyz", []) == "xyz"
