@@ -38,6 +38,11 @@ _RUN = np.array([chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/=_-") fo
 _CLASSES = tuple(re.compile(x) for x in ("[a-z]", "[A-Z]", "[0-9]"))
 _DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+#: What stands between separators; a UUID is one part.
+_SEPARATORS = "/=_-+"
+_PART = re.compile(rf"{_UUID.pattern}(?![0-9a-zA-Z])|[^{re.escape(_SEPARATORS)}]+")
+#: A part of a key between two separators may be a name by chance if it has fewer characters than this.
+SHORT_NAME = 4
 #: Words and numbers with separators between; every repetition is possessive, so that the test is linear.
 _NAME = re.compile(r"(?![-_/=+])(?:[A-Z]*+[a-z]{2,}+|[A-Z]{2,}+|[0-9]++|[-_/=+]++)++")
 
@@ -73,29 +78,90 @@ def _mixed_often(run: str) -> bool:
     return 4 * sum(a != b and a + b != "ul" for a, b in zip(kinds, kinds[1:], strict=False)) > len(run)
 
 
+def _classes(run: str) -> int:
+    return sum(bool(c.search(run)) for c in _CLASSES)
+
+
+def _random(run: str, encoding: tiktoken.Encoding, ratio: float) -> bool:
+    return len(run) >= RUN_LEAST and _classes(run) > 1 and not identifier(run) and len(run) < ratio * len(encoding.encode_ordinary(run))
+
+
+def _stretches(run: str) -> list[tuple[int, int]]:
+    """Where text that is no name stands in a run: from one such part to another, with none but short names between."""
+    found: list[tuple[int, int]] = []
+    mixed = joins = False  # whether the last stretch has a part of several classes; whether it may go on
+    for part in _PART.finditer(run):
+        if identifier(part[0]):
+            joins = joins and len(part[0]) < SHORT_NAME
+            continue
+        if joins:
+            begin = found.pop()[0] if mixed else opened
+            mixed = mixed or _classes(part[0]) > 1
+        else:
+            begin, mixed = part.start(), _classes(part[0]) > 1
+        opened, joins = begin, True
+        if mixed:
+            found.append((begin, part.end()))
+    return found
+
+
+def _random_in(run: str, encoding: tiktoken.Encoding, ratio: float) -> list[tuple[int, int]]:
+    """The whole run if it is random, else its random stretches and in the others the random parts."""
+    if _classes(run) < 2:
+        return []
+    if _random(run, encoding, ratio):
+        return [(0, len(run))]
+    found = []
+    for begin, end in _stretches(run):
+        if _random(run[begin:end], encoding, ratio):
+            found.append((begin, end))
+        else:
+            found += [m.span() for m in _PART.finditer(run, begin, end) if _random(m[0], encoding, ratio)]
+    return found
+
+
 def random_spans(text: str, encoding: tiktoken.Encoding, ratio: float = RATIO) -> list[tuple[int, int, str]]:
-    """Maximal runs of key characters with few characters per token, other than identifiers."""
+    """Of maximal runs of key characters, those with few characters per token, other than identifiers.
+
+    Ordinary words with separators do not hide a key: what lies between / = _ - + is tested too.
+    """
     raw = np.frombuffer(text.encode(), dtype=np.uint8)
     outside = np.flatnonzero(~_RUN[raw])
     edges = np.concatenate([[-1], outside, [len(raw)]])
     found = []
     for k in np.flatnonzero(np.diff(edges) > RUN_LEAST):
         begin, end = int(edges[k]) + 1, int(edges[k + 1])
-        run = raw[begin:end].tobytes().decode()
-        if sum(bool(c.search(run)) for c in _CLASSES) < 2 or identifier(run):
-            continue
-        if len(run) < ratio * len(encoding.encode_ordinary(run)):
+        inside = _random_in(raw[begin:end].tobytes().decode(), encoding, ratio)
+        if inside:
             start = int(((raw[:begin] & 0xC0) != 0x80).sum())
-            found.append((start, start + len(run), "random"))
+            found += [(start + b, start + e, "random") for b, e in inside]
     return found
 
 
+def _uncovered(text: str, span: tuple[int, int, str], base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """What base spans leave of a random one, without separators at the ends and without plain words."""
+    pieces, at = [], span[0]
+    for begin, end, _ in base:
+        if begin < span[1] and at < end:
+            pieces.append((at, begin))
+            at = end
+    if at == span[0] and not pieces:
+        return [span]
+    left = []
+    for begin, end in [*pieces, (at, span[1])]:
+        piece = text[begin:end].rstrip(_SEPARATORS)
+        begin, piece = begin + len(piece) - len(piece.lstrip(_SEPARATORS)), piece.lstrip(_SEPARATORS)
+        if _classes(piece) > 1 and not identifier(piece):
+            left.append((begin, begin + len(piece), "random"))
+    return left
+
+
 def spans(text: str, encoding: tiktoken.Encoding) -> list[tuple[int, int, str]]:
-    """Base spans, and random strings that no base span touches."""
+    """Base spans, and what they do not cover of random strings."""
     base = base_spans(text)
     more = random_spans(text, encoding)
     if more and base:
-        more = [x for x in more if all(x[1] <= b or e <= x[0] for b, e, _ in base)]
+        more = [x for span in more for x in _uncovered(text, span, base)]
     return sorted(base + more, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
