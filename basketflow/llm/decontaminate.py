@@ -16,16 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import SLICE_ROWS, id_and_text, ship, slices, texts_of
+from basketflow.llm.common import SLICE_ROWS, id_and_text, map_texts, ship, slices, texts_of
 
 #: Edits allowed for each character of a normalised item.
 BUDGET = 0.1
-#: Items with fewer normalised characters are not searched: they occur by chance.
+#: Items with fewer normalised characters are searched as whole words and without edits: else they occur by chance.
 LEAST_CHARS = 20
 #: Items in one automaton; more are searched for in several passes over the documents.
 ITEMS_AT_ONCE = 5_000
 
 _GAPS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
+#: Scripts without a space between all words (South-East Asian, Chinese, Japanese, Korean): an item may begin anywhere.
+_UNSPACED = re.compile("[\\u0e00-\\u0eff\\u1000-\\u11ff\\u1780-\\u17ff\\u2e80-\\u9fff\\ua960-\\ua97f\\uac00-\\ud7ff\\uf900-\\ufaff\\uff66-\\uffdc\\U00020000-\\U0003ffff]")
 _OTHER_GAPS = re.compile("[ -¿ -⁯　-〿︰-﹯！-／]")
 
 
@@ -71,6 +73,7 @@ class Item:
     text: str
     cuts: list[int]
     parts: list[list[tuple[int, int]]]
+    as_words: bool = False
 
     @property
     def budget(self) -> int:
@@ -93,10 +96,12 @@ def cut(item_id: int, text: str, budget: float = BUDGET) -> Item:
 
 
 class Finder:
-    """All pieces of all items in one automaton."""
+    """All pieces of all items in one automaton; items of under ``least`` characters are whole words without edits."""
 
-    def __init__(self, items: list[tuple[int, str]], budget: float = BUDGET):
-        self.items = [cut(i, t, budget) for i, t in items]
+    def __init__(self, items: list[tuple[int, str]], budget: float = BUDGET, least: int = 0):
+        self.items = [cut(i, t, budget if len(t) >= least else 0) for i, t in items]
+        for item in self.items:
+            item.as_words = len(item.text) < least
         pieces: dict[str, list[tuple[int, int]]] = {}
         for k, item in enumerate(self.items):
             for i in range(len(item.cuts) - 1):
@@ -118,6 +123,8 @@ class Finder:
                 item = self.items[k]
                 if best.get(item.item_id) == 0:
                     continue
+                if item.as_words and not (_word_edge(text, end + 1 - size) and _word_edge(text, end + 1)):
+                    continue
                 offset = end + 1 - size - item.cuts[i]
                 if any(low <= offset <= high for low, high in seen.get(k, ())):
                     continue
@@ -149,6 +156,12 @@ class Finder:
         return True
 
 
+def _word_edge(text: str, at: int) -> bool:
+    """Whether a word may begin or end before character ``at`` of a normalised text."""
+    around = text[max(0, at - 1) : at + 1]
+    return len(around) < 2 or " " in around or bool(_UNSPACED.search(around))
+
+
 def _one_edit(item: Item, i: int, low: int, high: int, offset: int, text: str) -> bool:
     """Cheap test: with one edit in the neighbour piece, one of its halves is unchanged, shifted by one at most."""
     other = high - 1 if i == low else low
@@ -163,8 +176,9 @@ def contaminated(docs: DataFrame, items: DataFrame, budget: float = BUDGET, id_c
     """doc_id, item_id, distance and budget: the least edit distance of each item found in each document.
 
     Both texts are normalised first; an item counts as found within ``budget`` edits a character. Null and empty
-    texts hold nothing; items that are null or shorter than ``LEAST_CHARS`` are not searched. Rows that repeat an id
-    are searched one by one and give a result each; items that repeat an id give its least distance.
+    texts hold nothing. Items of under ``LEAST_CHARS`` characters are searched as whole words with a budget of 0; only
+    those that ``unsearchable`` returns are not searched. Rows that repeat an id are searched one by one and give a
+    result each; items that repeat an id give its least distance.
     """
     ship(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col)
@@ -178,13 +192,25 @@ def contaminated(docs: DataFrame, items: DataFrame, budget: float = BUDGET, id_c
     return found
 
 
+def unsearchable(items: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """item_id of the items that are not searched: those of null id, and those without a letter or digit."""
+
+    def run(piece, texts):
+        return {"item_id": piece.column(0), "empty": [not normalised(t) for t in texts]}
+
+    return map_texts(id_and_text(items, item_col, item_text_col), run, "item_id long, empty boolean").where("item_id is null or empty").select("item_id")
+
+
 def _searched(rows: DataFrame, items: list[tuple[int, str]], budget: float) -> DataFrame:
     named = sorted({(i, normalised(t)) for i, t in items})
-    sent = rows.sparkSession.sparkContext.broadcast([(i, t) for i, t in named if len(t) >= LEAST_CHARS])
-    limits = {i: int(budget * len(t)) for i, t in named}
+    sent = rows.sparkSession.sparkContext.broadcast([(i, t) for i, t in named if t])
+    least = LEAST_CHARS
+    limits: dict[int, int] = {}
+    for i, t in named:
+        limits[i] = max(limits.get(i, 0), int(budget * len(t)) if len(t) >= least else 0)
 
     def run(batches):
-        finder = Finder(sent.value, budget)
+        finder = Finder(sent.value, budget, least)
         for piece in slices(batches):
             out = []
             for doc_id, text in zip(piece.column(0).to_pylist(), texts_of(piece), strict=True):

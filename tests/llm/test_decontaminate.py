@@ -5,7 +5,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from basketflow.llm.decontaminate import LEAST_CHARS, Finder, contaminated, edit_distance, normalised
+from basketflow.llm.decontaminate import LEAST_CHARS, Finder, contaminated, edit_distance, normalised, unsearchable
 
 
 def plain_distance(pattern, text):
@@ -68,6 +68,19 @@ def test_odd_rows(spark, documents, odd_texts):
     assert contaminated(documents(odd_texts), items.limit(0)).count() == 0
 
 
+def test_short_items(spark, documents):
+    items = spark.createDataFrame(
+        [(1, "Is Paris big?"), (2, "猫は魚が好きですか"), (3, "42"), (4, "서울은 어디"), (5, "?!"), (6, None), (None, "big"), (7, "cat")], "item_id long, text string"
+    )
+    rows = [
+        (1, "they ask: is paris, big and old"), (2, "is paris bigger"), (3, "質問。猫は魚が好きですか、答え"), (4, "ああ猫は魚が好きですかああ"), (5, "猫は魚が好きで"),
+        (6, "it is 42"), (7, "it is 421 or 142 or 4 2"), (8, "그는 서울은 어디에 있는지"), (9, "concatenate cats, a Cat!"), (10, "concatenate cats"), (11, "this paris big"),
+    ]
+    got = sorted(map(tuple, contaminated(documents(rows), items).collect()))
+    assert got == [(1, 1, 0, 0), (3, 2, 0, 0), (4, 2, 0, 0), (6, 3, 0, 0), (8, 4, 0, 0), (9, 7, 0, 0)]
+    assert sorted((r[0] for r in unsearchable(items).collect()), key=str) == [5, 6, None]
+
+
 def test_items_in_blocks(spark, documents, monkeypatch):
     monkeypatch.setattr("basketflow.llm.decontaminate.ITEMS_AT_ONCE", 2)
     texts = [" ".join(f"{k}{j}word" for j in range(8)) for k in range(7)]
