@@ -8,7 +8,6 @@ laid end to end, so that a chain may switch language. A text's language is the o
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -16,10 +15,13 @@ from pyspark.sql import functions as F
 
 from basketflow.llm.chains import Steps
 from basketflow.llm.common import extend_texts, fold, id_and_text, map_texts
+from basketflow.shared import as_table
 
 UNDETERMINED = "und"
 BITS = 16
 KINDS = 4
+#: Up to so many languages have the full sample; beyond, the sample shrinks to no fewer documents than these.
+FULL_SAMPLES, LEAST_SAMPLE = 64, 20
 #: The feature row that never has a weight.
 NOTHING = KINDS << BITS
 
@@ -111,18 +113,25 @@ class Crf:
         return both[steps.place]
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """Language of each text and the mean marginal of that language."""
+        return self.judged(texts)[:2]
+
+    def judged(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """As ``predict``, and how clear the words are: the mean of each word's largest marginal, whichever label has it."""
         words = words_of(texts)
         given = np.array([x > 0 and (any("a" <= c <= "z" for c in t[:200].lower()) or any(map(str.isalpha, t))) for x, t in zip(words.counts, texts, strict=True)])
-        shares = np.full((len(texts), len(self.labels)), 0.0)
+        shares, clear = np.full((len(texts), len(self.labels)), 0.0), np.zeros(len(texts))
         if len(words.sizes):
             marginals = self.marginals(words, words.counts) * words.sizes[:, None]
             text = np.repeat(np.arange(len(texts)), words.counts)
             for k in range(len(self.labels)):
                 shares[:, k] = np.bincount(text, marginals[:, k], len(texts))
+            clear = np.bincount(text, marginals.max(axis=1), len(texts))
         total = shares.sum(axis=1)
         best = shares.argmax(axis=1)
         score = np.where(given, shares.max(axis=1) / np.maximum(total, 1e-300), 0.0)
-        return [self.labels[k] if ok else UNDETERMINED for k, ok in zip(best, given, strict=True)], np.clip(score, 0, 1)
+        clear = np.where(given, clear / np.maximum(total, 1e-300), 0.0)
+        return [self.labels[k] if ok else UNDETERMINED for k, ok in zip(best, given, strict=True)], np.clip(score, 0, 1), np.clip(clear, 0, 1)
 
 
 def train(
@@ -181,22 +190,35 @@ def _step(crf: Crf, words: Words, truth: np.ndarray, chains: np.ndarray, squares
     crf.moves += rate * slope / np.sqrt(move_squares)
 
 
-def fit(docs: DataFrame, per_lang: int = 300, max_chars: int = 6_000, max_langs: int = 64, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Crf:
-    """Train on ``per_lang`` documents of each language, drawn by a hash of id among texts of 20 to ``max_chars`` characters.
+def fit(docs: DataFrame, per_lang: int = 300, max_chars: int = 6_000, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Crf:
+    """Train on ``per_lang`` documents of every language, drawn by a hash of id among texts of 20 to ``max_chars`` characters.
 
-    This sample bounds what reaches the driver: at most ``max_langs * per_lang * max_chars`` characters; languages
-    are the ``max_langs`` most frequent.
+    A language with fewer such texts also learns from its shorter texts and from the beginnings of longer ones. Every
+    label with a text that is not empty is learned. With more than ``FULL_SAMPLES`` languages each gets fewer
+    documents, but ``LEAST_SAMPLE`` in any case; equal rows count once. The driver gets at most that many texts of
+    ``max_chars`` characters, and holds 3 MB of weights a language.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    usable = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.length("text").between(20, max_chars))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    usable = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("at", F.xxhash64("doc_id", "text"))
+    aside = (~F.length("text").between(20, max_chars)).alias("aside")
+    keys = as_table(usable.select("lang", "at", aside).groupBy("lang", "at").agg(F.min("aside").alias("aside")), "keys")
+    counts = keys.groupBy("lang", "aside").count().collect()  # two rows a language
     if not counts:
         return Crf([UNDETERMINED], np.zeros((NOTHING + 1, 1), np.float32), np.zeros((1, 1)))
-    drawn = [
-        usable.where(F.col("lang") == r["lang"]).select("lang", "text", F.xxhash64("doc_id", "text").alias("at")).orderBy("at").limit(per_lang).drop("at")
-        for r in counts
-    ]
-    sample = sorted((r["lang"], r["text"]) for r in reduce(DataFrame.unionAll, drawn).collect())
+    langs = len({r["lang"] for r in counts})
+    wanted = min(per_lang, max(LEAST_SAMPLE, per_lang * FULL_SAMPLES // langs))
+    # hashes are uniform: so many of each group lie below its limit that the least `wanted` are among them
+    limits = [(r["lang"], r["aside"], min(2**63 - 1, int(2**64 * (2 * wanted + 50) / r["count"]) - 2**63)) for r in counts]
+    low = F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, aside boolean, high long"))
+    found = sorted((r["lang"], r["aside"], r["at"]) for r in keys.join(low, ["lang", "aside"]).where("at <= high").select("lang", "aside", "at").collect())
+    chosen: dict[str, list[int]] = {}
+    for lang, _, at in found:
+        own = chosen.setdefault(lang, [])
+        if len(own) < wanted:
+            own.append(at)
+    picked = docs.sparkSession.createDataFrame([(lang, at) for lang, own in chosen.items() for at in own], "lang string, at long")
+    drawn = usable.join(F.broadcast(picked), ["lang", "at"]).select("lang", "at", F.substring("text", 1, max_chars).alias("text")).dropDuplicates(["lang", "at"])
+    sample = sorted((r["lang"], r["text"]) for r in drawn.collect())
     return train([t for _, t in sample], [name for name, _ in sample])
 
 
@@ -206,7 +228,7 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
     Null texts and texts without a letter are ``und`` with score 0. Repeated rows give repeated results; a null
     id stays null.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights for each of max_langs languages
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights for each language
 
     def run(piece, texts):
         langs, scores = sent.value.predict(texts)
@@ -216,15 +238,18 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
 
 
 def accepted(docs: DataFrame, model: Crf, least: float = 0.35, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in some language of the model: not ``und``, and with a score of ``least`` or more."""
+    """The rows of ``docs`` in languages of the model: not ``und``, and words clear to ``least`` on average.
+
+    Each word may be in another language, so that texts which switch between languages stay.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # as in identify
 
     def run(texts):
-        langs, scores = sent.value.predict(texts)
-        return {"__lang": langs, "__score": scores}
+        langs, _, clear = sent.value.judged(texts)
+        return {"__lang": langs, "__clear": clear}
 
-    marked = extend_texts(docs, run, "__lang string, __score double", text_col)
-    return marked.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= least)).drop("__lang", "__score")
+    marked = extend_texts(docs, run, "__lang string, __clear double", text_col)
+    return marked.where((F.col("__lang") != UNDETERMINED) & (F.col("__clear") >= least)).drop("__lang", "__clear")
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

@@ -65,6 +65,28 @@ def test_language_of_odd_texts(documents, odd_texts):
     assert language.op10_language_id(documents([])).count() == 0
 
 
+def test_every_language_is_learned(documents):
+    """70 languages, and two whose texts are all too short or too long for the usual sample."""
+    rng = random.Random(3)
+    made = {f"l{k}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(6)] for k in range(70)}
+    rows = [(1_000 * k + i, " ".join(rng.choices(words, k=12)), lang) for k, (lang, words) in enumerate(made.items()) for i in range(3)]
+    rows += [(100_000 + i, "qoqo wuwu", "short") for i in range(3)] + [(200_000 + i, f"vyvy {i} kiki jeje " * 500, "long") for i in range(3)]
+    model = language.fit(documents(rows))
+    assert model.labels == sorted([*made, "short", "long"])
+    assert model.predict(["qoqo wuwu", "kiki jeje vyvy", " ".join(made["l69"])])[0] == ["short", "long", "l69"]
+
+
+def test_texts_that_switch_between_languages_are_accepted(documents):
+    rng = random.Random(5)
+    letters = {"aa": "abc", "ff": "fgh", "mm": "mno", "zz": "xyz"}
+    make = lambda lang, n: " ".join("".join(rng.choices(letters[lang], k=4)) for _ in range(n))
+    langs = [*letters] * 40
+    model = language.train([make(x, 30) for x in langs], langs)
+    mixed = " ".join(make(x, 20) for x in letters)
+    assert model.predict([mixed])[1][0] < 0.35
+    assert [r["doc_id"] for r in language.accepted(documents([(1, mixed), (2, "12 34")]), model).collect()] == [1]
+
+
 def test_switching_words_are_labelled_one_by_one():
     rng = random.Random(5)
     make = lambda letters, n: " ".join("".join(rng.choices(letters, k=4)) for _ in range(n))
