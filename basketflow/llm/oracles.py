@@ -64,4 +64,46 @@ SELECT w.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256
 FROM words w LEFT JOIN left_over o ON o.doc_id = w.doc_id
 """
 
-ORACLES = {"op2_minhash_dedup": OP2, "op4_vector_dedup": OP4, "op6_substring_dedup": OP6}
+OP12 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT a.vec_id AS a, a.label AS own, b.vec_id AS b, b.label AS other, list_inner_product(a.q, b.q)::BIGINT AS s
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+positive AS (
+    SELECT a, b AS p, s AS ps FROM scores WHERE own = other
+    QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5
+)
+SELECT a AS anchor_id, p AS positive_id, row_number() OVER w ::INT AS rank, b AS negative_id, ps AS positive_score, s AS negative_score
+FROM positive JOIN scores USING (a) WHERE own <> other AND 50 * ps <= 100 * s AND 100 * s <= 95 * ps
+WINDOW w AS (PARTITION BY a, p ORDER BY s DESC, b)
+QUALIFY row_number() OVER w <= 3
+"""
+
+_KEY = r"translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP13 = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS p FROM split),
+keyed AS (SELECT *, CASE WHEN length({_KEY}) >= 20 THEN {_KEY} END AS key FROM lines),
+shared AS (
+    SELECT key, max(doc_id) AS keeper FROM keyed WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (doc_id <> keeper) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (keeper IS NULL OR doc_id = keeper), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
+"""
+
+ORACLES = {
+    "op2_minhash_dedup": OP2,
+    "op4_vector_dedup": OP4,
+    "op6_substring_dedup": OP6,
+    "op12_hard_negatives": OP12,
+    "op13_line_dedup": OP13,
+}

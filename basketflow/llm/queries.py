@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from basketflow.llm import byte_bpe, decontaminate, hmm_lm, language, minhash_dedup, pii, quality, secret_scan, substring_dedup, vector_dedup
+from basketflow.llm import (
+    byte_bpe,
+    cross_tokenizer,
+    decontaminate,
+    hard_negatives,
+    hmm_lm,
+    language,
+    line_dedup,
+    minhash_dedup,
+    pii,
+    quality,
+    secret_scan,
+    substring_dedup,
+    vector_dedup,
+)
 from basketflow.llm.common import read
 from basketflow.llm.oracles import ORACLES as SQL
 
@@ -54,6 +68,18 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.op10_language_id(read(spark, folder, "documents"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_tokenizer.digests(cross_tokenizer.align(read(spark, folder, "documents")))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.op12_hard_negatives(read(spark, folder, "embeddings"))
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.drop_shared_lines(read(spark, folder, "documents")))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -71,6 +97,9 @@ QUERIES: dict[str, Query] = {
         op8_pii,
         op9_quality,
         op10_language_id,
+        op11_cross_tokenizer,
+        op12_hard_negatives,
+        op13_line_dedup,
         pipeline,
     )
 }

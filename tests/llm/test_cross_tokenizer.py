@@ -1,0 +1,175 @@
+"""Alignment against a plain version that uses both libraries and compares all tokens of a text."""
+
+import hashlib
+from collections import Counter, defaultdict
+from functools import lru_cache, reduce
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from basketflow.llm import cross_tokenizer as c
+from basketflow.llm.byte_bpe import byte_characters
+
+COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+class Plain:
+    def __init__(self):
+        self.a = Tokenizer.from_file(public_tokenizers.path(c.VOCABULARY_A))
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(c.VOCABULARY_B))
+        self.to_byte = {x: b for b, x in byte_characters().items()}
+
+    def _bytes_b(self, i):
+        piece = self.b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    def tokens(self, text):
+        """(ids, begin and end of each) of both, or None."""
+        if not text:
+            return None
+        raw, both = (" " + text).encode(), []
+        ids = self.a.encode(" " + text, add_special_tokens=False).ids
+        both.append((ids, [bytes(map(self.to_byte.__getitem__, self.a.id_to_token(i))) for i in ids]))
+        ids = self.b.encode(text)
+        both.append((ids, [self._bytes_b(i) for i in ids]))
+        if any(b"".join(parts) != raw for _, parts in both):
+            return None
+        found = []
+        for ids, parts in both:
+            ends = np.cumsum([len(p) for p in parts]).tolist()
+            found.append(list(zip(ids, [0, *ends[:-1]], ends, strict=True)))
+        return found
+
+    def rows(self, texts):
+        """What the operator returns for each text, in order."""
+        results, corpus, found = [], Counter(), [self.tokens(t) for t in texts]
+        links_of = []
+        for tokens in found:
+            links = [] if tokens is None else [(x, y) for x, p, q in tokens[0] for y, r, s in tokens[1] if p < s and r < q]
+            links_of.append(links)
+            corpus.update(links)
+        most = defaultdict(int)
+        for (_, y), n in corpus.items():
+            most[y] = max(most[y], n)
+        for tokens, links in zip(found, links_of, strict=True):
+            if tokens is None:
+                results.append((0, 0, 0, 0, 0, 0, ""))
+                continue
+            a, b = tokens
+            common = sorted({e for *_, e in a} & {e for *_, e in b})
+            groups, begin = [], 0
+            for end in common:
+                sides = [",".join(str(i) for i, p, q in side if begin <= p and q <= end) for side in (a, b)]
+                groups.append("|".join(sides))
+                begin = end
+            digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+            best = sum(corpus[p] == most[p[1]] for p in links)
+            results.append((len(a), len(b), len(groups), len(links), best, sum(corpus[p] for p in links), digest))
+        return results
+
+
+@lru_cache
+def plain_version():
+    return Plain()
+
+
+@pytest.fixture(scope="module")
+def plain():
+    return plain_version()
+
+
+@pytest.fixture(scope="module")
+def pair():
+    return c.pair_of(None, None)
+
+
+TEXTS = [
+    "The quick brown fox",
+    " two  spaces   and more   ",
+    " ",
+    "   ",
+    "tabs\tand\nlines\r\n",
+    "<|endoftext|> <s> </s> <0x41> <unk>",
+    "a▁b is not spelled",
+    "日本語 with ñandú — “quoted” 🎉🎉 é",
+    "internationalisation hyper-parameterised xqzzjv 0123456789",
+    "the cat the cat the cat",
+    " nbsp em",
+    "\x00 nul",
+]
+
+
+def found_rows(aligned):
+    return sorted((r.doc_id if r.doc_id is not None else -1, *(getattr(r, n) for n in COLUMNS)) for r in aligned.collect())
+
+
+def test_query_equals_plain_version(spark, documents, odd_texts, plain):
+    rows = [*odd_texts, *enumerate(TEXTS, 100)]
+    aligned = c.align(documents(rows), long_chars=20_000)
+    wanted = sorted((-1 if row[0] is None else row[0], *x) for row, x in zip(rows, plain.rows([t for _, t in rows]), strict=True))
+    assert found_rows(aligned) == wanted
+
+
+@pytest.mark.parametrize("rare", [1, 1 << 20])
+def test_shared_out_and_rare_pairs_give_the_same(spark, documents, plain, rare):
+    """Fragments of a few bytes in tasks of a few characters; with 1 no pair is common."""
+    rows = [(i, (t + " ") * 40) for i, t in enumerate(TEXTS)] + [(50, "x" * 500), (51, "end " * 300), (51, "end " * 300)]
+    aligned = c.align(documents(rows), long_chars=60, share_chars=20, range_bytes=7, rare=rare)
+    wanted = sorted((i, *x) for (i, _), x in zip(rows, plain.rows([t for _, t in rows]), strict=True))
+    assert found_rows(aligned) == wanted
+
+
+def test_all_documents_of_the_smallest_folder(spark, plain):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    rows = [r for r in rows if len(r[1] or "") < 3000]
+    aligned = c.align(docs.where("coalesce(length(text), 0) < 3000"))
+    assert found_rows(aligned) == sorted((i, *x) for (i, _), x in zip(rows, plain.rows([t for _, t in rows]), strict=True))
+
+
+def test_empty_table(spark, documents):
+    assert c.align(documents([(1, "x")]).where("doc_id > 1")).collect() == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab é日🎉 \n\t'<▁19-"), max_size=40))
+def test_ids_are_those_of_the_libraries(text):
+    both = plain_version().tokens(text) if text else None
+    found = c.pair_of(None, None).encode(" " + text) if text else None
+    assert (both is None) == (found is None)
+    if both:
+        assert [x.tolist() for x in found] == [[i for i, *_ in side] for side in both]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["inter", "nation", "al", "é", "日本", " x", " the", "\n", "  ", "zq", "9"]), min_size=1, max_size=30), st.integers(1, 9), st.randoms())
+def test_composition_is_associative(words, size, random):
+    pair = c.pair_of(None, None)
+    ids = pair.encode(" " + "".join(words))
+    parts = list(c.fragments(*ids, pair, size))
+    left = reduce(lambda x, y: x.then(y, pair), parts)
+    while len(parts) > 1:
+        k = random.randrange(len(parts) - 1)
+        parts[k : k + 2] = [parts[k].then(parts[k + 1], pair)]
+    results = []
+    for whole in (left, parts[0], c.composed(c.fragments(*ids, pair, size), pair)):
+        whole = c.START.then(whole, pair)
+        assert not len(whole.suffix[0]) and not len(whole.prefix[0])
+        results.append((whole.n_groups, whole.text, *(x.tolist() for x in c._merged(whole.links))))
+    assert results[0] == results[1] == results[2]
+
+
+def test_cuts_are_before_a_space_after_a_character(pair):
+    text = "one  two three\n four " * 50
+    begins = c.cut_points(text, 10)
+    assert len(begins) > 20 and all(text[k] == " " and not text[k - 1].isspace() for k in begins[1:])
+    shares = [text[a:b] for a, b in zip(begins, [*begins[1:], len(text)], strict=True)]
+    ids = [pair.encode(" " * (k == 0) + share) for k, share in enumerate(shares)]
+    for k, whole in enumerate(pair.encode(" " + text)):
+        assert np.concatenate([x[k] for x in ids]).tolist() == whole.tolist()

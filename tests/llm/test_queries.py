@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert QUERIES.keys() <= contract.queries().keys() and ORACLES.items() <= contract.oracle_sql().items()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ORACLES)
