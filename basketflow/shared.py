@@ -3,12 +3,14 @@
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+# Setting by which a query leaves no shuffle files behind.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _RUN: ContextVar[str | None] = ContextVar("run folder", default=None)
 
 
@@ -41,16 +43,44 @@ def run_folder(spark: SparkSession, keep: bool = False) -> Iterator[str]:
     finally:
         _RUN.reset(token)
         if not keep:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(spark, folder)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, system = _hadoop_path(spark, path)
+    return system.exists(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store that Spark writes to; nothing happens where there is none."""
+    found, system = _hadoop_path(spark, path)
+    system.delete(found, True)
+
+
+def as_counted_table(df: DataFrame, name: str, counts: Sequence[Column]) -> tuple[DataFrame, dict]:
+    """The same with aggregates over all rows, which the write itself gives: no second scan."""
+    seen = Observation()
+    table = as_table(df.observe(seen, *counts), name)
+    return table, seen.get
 
 
 def as_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and go on from the files.
 
     Later uses read only the columns they need, and a lost executor costs a re-read instead of
-    a recomputation of everything upstream.
+    a recomputation of everything upstream. Shuffle files of the write go with its end, as nothing reads them again.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
