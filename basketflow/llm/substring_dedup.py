@@ -3,7 +3,8 @@
 A repeat of ``window`` words, wherever it starts, covers a whole block of ``(window + 1) / 2`` words of the document
 it is compared with, if that document is cut into blocks without overlap. So the blocks of all documents are the
 index and every rolling sequence of that length in any document is a probe; both travel as short hashes packed by
-hash range. Around the anchors that hit, the windows themselves are hashed with 128 bits, and each window takes the
+hash range, and what is found comes back packed by bucket of documents, so that rows follow the words and not the
+documents times the ranges. Around the anchors that hit, the windows themselves are hashed with 128 bits, and each window takes the
 smallest document that has it; runs of such windows are the maximal exact repeats.
 
 Tasks settle what they can alone: of all documents of a task that share a sequence one stands for the others, so a
@@ -27,8 +28,8 @@ from basketflow.shared import as_table
 WINDOW = 13
 ENTRIES_A_RANGE = 2_500_000
 ENTRIES_AT_ONCE = 2_000_000
-_TAG_BITS = np.uint64(24)
-_TAG = np.uint64((1 << 24) - 1)
+_TAG = np.uint64((1 << 32) - 1)
+_SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _packed_ids(ids: np.ndarray) -> bytes:
@@ -44,19 +45,25 @@ def _unpacked_ids(raw: bytes) -> np.ndarray:
     return (np.frombuffer(raw, dtype=np.uint64, count=1, offset=1) + np.cumsum(gaps)).view(np.int64)
 
 
-def _three_bytes(tags: np.ndarray) -> bytes:
-    return tags.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+def _place(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Range of a hash and its 32-bit tag within it."""
+    return (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), (hashes & _TAG).astype(np.uint32)
 
 
-def _from_three_bytes(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // 3, 4), dtype=np.uint8)
-    wide[:, :3] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 3)
-    return wide.view("<u4")[:, 0]
+def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mixed(ids.view(np.uint64) + _SALT) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _place(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Range of a hash and its 24-bit tag within it."""
-    return (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), hashes & _TAG
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal values."""
+    if not len(values):
+        return []
+    cuts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]]))
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+
+
+def _bits(packed: list[bytes], sizes: list[int]) -> list[np.ndarray]:
+    return [np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=n) for x, n in zip(packed, sizes, strict=True)]
 
 
 def word_sequences(docs: DataFrame) -> DataFrame:
@@ -121,7 +128,7 @@ def _anchors(docs: DataFrame, block: int, window: int, ranges: int) -> DataFrame
                 [
                     pa.array(place[ends[:-1]].astype(np.int64)),
                     pa.array([kind] * len(spans), pa.int32()),
-                    pa.array([_three_bytes(tags[a:b]) for a, b in spans], pa.binary()),
+                    pa.array([tags[a:b].tobytes() for a, b in spans], pa.binary()),
                     pa.array([np.packbits(index[a:b]).tobytes() for a, b in spans], pa.binary()),
                     pa.array([_packed_ids(ids[a:b]) for a, b in spans], pa.binary()),
                 ],
@@ -132,45 +139,66 @@ def _anchors(docs: DataFrame, block: int, window: int, ranges: int) -> DataFrame
     return docs.mapInArrow(run, "range long, kind int, tags binary, indexed binary, ids binary")
 
 
-def _hits(packets: DataFrame) -> DataFrame:
-    """doc_id and tags of the sequences that another document has too: those with an index block among them, and others."""
-    schema = pa.schema([("doc_id", pa.int64()), ("tags", pa.binary()), ("others", pa.binary())])
+def _hits(packets: DataFrame, buckets: int) -> DataFrame:
+    """doc_id and tags of the sequences that another document has too: those with an index block among them, and others.
+
+    A range sends one row to each bucket of documents, and a bucket's task gives one row a document.
+    """
+    packed = pa.schema([("bucket", pa.int64()), ("tags", pa.binary()), ("anchors", pa.binary()), ("ids", pa.binary())])
+    by_document = pa.schema([("doc_id", pa.int64()), ("tags", pa.binary()), ("others", pa.binary())])
 
-    def run(table: pa.Table) -> pa.Table:
+    def met(table: pa.Table) -> pa.Table:
         kinds = table["kind"].to_pylist()
-        tags = [_from_three_bytes(x) for x in table["tags"].to_pylist()]
+        tags = [np.frombuffer(x, dtype=np.uint32) for x in table["tags"].to_pylist()]
         ids = [_unpacked_ids(x) for x in table["ids"].to_pylist()]
-        index = [np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(t)) for x, t in zip(table["indexed"].to_pylist(), tags, strict=True)]
+        index = _bits(table["indexed"].to_pylist(), list(map(len, tags)))
         kind = np.repeat(kinds, [len(t) for t in tags])
         tags, ids, index = np.concatenate(tags), np.concatenate(ids), np.concatenate(index)
-        met = kind < 2
-        found, inverse = np.unique(tags[met], return_inverse=True)
-        several = (np.bincount(inverse, minlength=len(found)) > 1)[inverse] & (kind[met] == 0)
-        indexed = np.bincount(inverse, index[met], len(found)) > 0
-        tags = np.concatenate([tags[met][several], tags[kind == 2]])
-        ids = np.concatenate([ids[met][several], ids[kind == 2]])
+        sent = kind < 2
+        found, inverse = np.unique(tags[sent], return_inverse=True)
+        several = (np.bincount(inverse, minlength=len(found)) > 1)[inverse] & (kind[sent] == 0)
+        indexed = np.bincount(inverse, index[sent], len(found)) > 0
+        tags = np.concatenate([tags[sent][several], tags[kind == 2]])
+        ids = np.concatenate([ids[sent][several], ids[kind == 2]])
         anchors = indexed[np.searchsorted(found, tags)]
+        bucket = _bucket(ids, buckets)
+        order = np.lexsort((ids, bucket))
+        tags, ids, anchors, bucket = tags[order], ids[order], anchors[order], bucket[order]
+        runs = _runs(bucket)
+        return pa.Table.from_arrays(
+            [
+                pa.array([bucket[a] for a, _ in runs], pa.int64()),
+                pa.array([tags[a:b].tobytes() for a, b in runs], pa.binary()),
+                pa.array([np.packbits(anchors[a:b]).tobytes() for a, b in runs], pa.binary()),
+                pa.array([_packed_ids(ids[a:b]) for a, b in runs], pa.binary()),
+            ],
+            schema=packed,
+        )
+
+    def gathered(table: pa.Table) -> pa.Table:
+        tags = [np.frombuffer(x, dtype=np.uint32) for x in table["tags"].to_pylist()]
+        anchors = np.concatenate(_bits(table["anchors"].to_pylist(), list(map(len, tags)))) > 0
+        tags, ids = np.concatenate(tags), np.concatenate([_unpacked_ids(x) for x in table["ids"].to_pylist()])
         order = np.argsort(ids, kind="stable")
         tags, ids, anchors = tags[order], ids[order], anchors[order]
-        cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1], [True]])) if len(ids) else np.zeros(1, np.int64)
-        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        runs = _runs(ids)
         return pa.Table.from_arrays(
             [
-                pa.array(ids[cuts[:-1]]),
-                pa.array([_three_bytes(tags[a:b][anchors[a:b]]) for a, b in spans], pa.binary()),
-                pa.array([_three_bytes(tags[a:b][~anchors[a:b]]) for a, b in spans], pa.binary()),
+                pa.array([ids[a] for a, _ in runs], pa.int64()),
+                pa.array([tags[a:b][anchors[a:b]].tobytes() for a, b in runs], pa.binary()),
+                pa.array([tags[a:b][~anchors[a:b]].tobytes() for a, b in runs], pa.binary()),
             ],
-            schema=schema,
+            schema=by_document,
         )
 
-    return packets.groupBy("range").applyInArrow(run, "doc_id long, tags binary, others binary")
+    found = packets.groupBy("range").applyInArrow(met, "bucket long, tags binary, anchors binary, ids binary")
+    return found.groupBy("bucket").applyInArrow(gathered, "doc_id long, tags binary, others binary")
 
 
 def _repeat_windows(docs: DataFrame, hits: DataFrame, block: int, window: int) -> DataFrame:
     """Windows around anchors: 128-bit hash, document and first word; without a hash where the task knows them as covered,
     all those of a document together."""
-    near = hits.groupBy("doc_id").agg(F.collect_list("tags").alias("tags"), F.collect_list("others").alias("others"))
-    rows = docs.join(near, "doc_id").select("doc_id", "text", "tags", "others")
+    rows = docs.join(hits, "doc_id").select("doc_id", "text", "tags", "others")
 
     def windows_of(batches):
         held, size = [], 0
@@ -180,10 +208,10 @@ def _repeat_windows(docs: DataFrame, hits: DataFrame, block: int, window: int) -
             anchors, first = windows(words, counts, block)
             owner = np.repeat(np.arange(len(counts)), counts)
             # the tags of a document are matched together with its number in the piece
-            key = owner[first].astype(np.int64) << 24 | (anchors & _TAG).astype(np.int64)
+            key = owner[first].astype(np.int64) << 32 | (anchors & _TAG).astype(np.int64)
             through = []
             for column in (2, 3):
-                wanted = [np.int64(k) << 24 | _from_three_bytes(b"".join(x)).astype(np.int64) for k, x in enumerate(piece.column(column).to_pylist())]
+                wanted = [np.int64(k) << 32 | np.frombuffer(x, dtype=np.uint32).astype(np.int64) for k, x in enumerate(piece.column(column).to_pylist())]
                 mine = np.zeros(len(words) + window, dtype=bool)
                 mine[first] = np.isin(key, np.concatenate(wanted))
                 through.append(np.concatenate([[0], np.cumsum(mine)]))
@@ -261,7 +289,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """
     block = (window + 1) // 2
     docs = id_and_text(docs, id_col, text_col)
-    spark = docs.sparkSession
     known = docs.where("doc_id is not null")
     sequences = as_table(word_sequences(known), "sequences")
     first = sequences.where(F.col("n_words") >= window).groupBy("n_words", "f", "g").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -271,10 +298,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     originals = without(known, copies)
     words = sequences.agg(F.sum("n_words")).first()[0] or 0
     ranges = max(1, words // ENTRIES_A_RANGE)
-    hits = as_table(_hits(_anchors(originals, block, window, ranges)), "hits")
-    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of the step before
+    hits = as_table(_hits(_anchors(originals, block, window, ranges), ranges), "hits")
     windows_found = as_table(_covered(_repeat_windows(originals, hits, block, window)), "covered")
-    spark.sparkContext._jvm.System.gc()
     places = windows_found.select("doc_id", "places", F.lit(False).alias("copy")).unionAll(
         copies.select("doc_id", F.lit(None).cast("array<int>"), F.lit(True))
     )
