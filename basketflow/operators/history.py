@@ -1,6 +1,7 @@
 """What each transaction's user did before: rank, totals, sliding sums, gaps.
 
-Users with few transactions are windowed as a whole. A busy user (and the rows without a user count as one)
+Users with few transactions are windowed as a whole. What lies in a sliding frame is there a difference of two running
+sums, which whole billionths keep exact, so a user's cost follows its rows and not what the frame holds. A busy user (and the rows without a user count as one)
 may hold a large part of the table, so a window over all its transactions is out of the question. Those are
 first added up per second and then windowed by day: a day has at most 86,400 seconds and a user at most one
 row per day of the calendar, whatever the number of transactions. A sliding sum of k days is then the current
@@ -27,6 +28,9 @@ from basketflow.shared import as_table
 MAX_USER_ROWS = 1_000
 
 DAY = 86_400
+# Amounts are added up in these units where sums are subtracted again; all of a user must fit a long.
+UNITS = 10**9
+MAX_UNITS = 9 * 10**18
 # Stands for a missing date: far before any real second, so such rows sort first and meet no other frame.
 UNDATED = -(10**15)
 
@@ -61,31 +65,57 @@ def with_user_second(transactions: DataFrame) -> DataFrame:
 
 
 def past_by_user(keyed: DataFrame, window_days: int) -> DataFrame:
-    """For users with few transactions: one shuffle, one sort."""
+    """For users with few transactions: one shuffle, one sort, running frames only.
+
+    A day is in the frame if it is the row's own or its last row is neither later than the day before nor gone.
+    """
     user = Window.partitionBy("user_key")
     timeline = user.orderBy("event_sec", "transaction_id")
-    frame = user.orderBy("event_sec").rangeBetween(-window_days * DAY, 0)
-    return keyed.withColumns(
+    seconds = user.orderBy("event_sec")
+    now, gone = seconds.rangeBetween(*SO_FAR), seconds.rangeBetween(Window.unboundedPreceding, -window_days * DAY - 1)
+
+    def within(value: Column) -> Column:
+        return F.sum(value).over(now) - F.coalesce(F.sum(value).over(gone), F.lit(0))
+
+    following = F.lead("event_sec").over(timeline)
+    last_of_day = (F.col("event_sec") != UNDATED) & F.coalesce(_day(following) != _day(F.col("event_sec")), F.lit(True))
+    units = (F.col("amount").try_cast("decimal(18,9)") * UNITS).cast("long")
+    marked = keyed.withColumns(
         {
             "n_earlier": F.row_number().over(timeline).cast("long") - 1,
             "previous_sec": _dated(F.lag("event_sec").over(timeline)),
-            "sliding_amount": F.sum("amount").over(frame),
-            "active_days": F.size(F.collect_set(_day(_dated(F.col("event_sec")))).over(frame)),
             "user_rows": F.count("*").over(user),
             "user_mean": F.avg("amount").over(user),
+            "units": F.coalesce(units, F.lit(0)),
+            "has_amount": F.col("amount").isNotNull().cast("long"),
+            "ended_day": last_of_day.cast("long"),
         }
     )
+    ended_before = F.coalesce(F.sum("ended_day").over(timeline.rowsBetween(*BEFORE)), F.lit(0))
+    ended_and_gone = F.coalesce(F.sum("ended_day").over(gone), F.lit(0))
+    return marked.select(
+        *keyed.columns,
+        "n_earlier",
+        "previous_sec",
+        F.when(within(F.col("has_amount")) > 0, within(F.col("units")) / F.lit(float(UNITS))).alias("sliding_amount"),
+        F.when(F.col("event_sec") == UNDATED, 0).otherwise(1 + ended_before - ended_and_gone).cast("int").alias("active_days"),
+        "user_rows",
+        "user_mean",
+    )
 
 
 def past_by_day(keyed: DataFrame, window_days: int, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """For users with any number of transactions."""
     seconds = as_table(user_seconds(keyed), "user_seconds")
-    measures = second_measures(seconds, window_days)
+    return placed(keyed, seconds, second_measures(seconds, user_days(seconds), window_days), max_group_rows)
 
+
+def placed(keyed: DataFrame, seconds: DataFrame, measures: DataFrame, max_group_rows: int) -> DataFrame:
+    """Rows with the measures of their second, told apart within it by ``transaction_id``. ``seconds`` is a table."""
     by_id = [F.col("transaction_id")]
     big = oversized_groups(seconds, SECOND, "n", max_group_rows)
     if big is None:
-        placed = rows_before(keyed, SECOND, by_id, "n_same_second").join(measures, SECOND)
+        rows = rows_before(keyed, SECOND, by_id, "n_same_second").join(measures, SECOND)
     else:
         # Seconds that one user fills with too many rows, for instance all those without a date.
         big = broadcast_if_small(as_table(big, "crowded_seconds"), enabled=True)
@@ -95,10 +125,10 @@ def past_by_day(keyed: DataFrame, window_days: int, max_group_rows: int = MAX_GR
         crowded_measures = broadcast_if_small(
             as_table(measures.join(big, SECOND, "left_semi"), "crowded_measures"), enabled=True
         )
-        placed = usual.join(measures, SECOND).unionByName(crowded.join(crowded_measures, SECOND))
+        rows = usual.join(measures, SECOND).unionByName(crowded.join(crowded_measures, SECOND))
 
     previous = F.when(F.col("n_same_second") > 0, F.col("event_sec")).otherwise(F.col("second_before"))
-    return placed.select(
+    return rows.select(
         *keyed.columns,
         (F.col("n_before") + F.col("n_same_second")).alias("n_earlier"),
         _dated(previous).alias("previous_sec"),
@@ -118,10 +148,14 @@ def user_seconds(keyed: DataFrame) -> DataFrame:
     )
 
 
-def day_measures(seconds: DataFrame, window_days: int) -> DataFrame:
-    """Per user and day: what lies before the day, in the days the frame covers, and in total."""
-    days = (
-        seconds.withColumn("day", _day(F.col("event_sec")))
+def with_day(seconds: DataFrame) -> DataFrame:
+    return seconds.withColumn("day", _day(F.col("event_sec")))
+
+
+def user_days(seconds: DataFrame) -> DataFrame:
+    """The same per user and day, and the last second of each."""
+    return (
+        with_day(seconds)
         .groupBy("user_key", "day")
         .agg(
             F.sum("n").alias("n"),
@@ -130,6 +164,10 @@ def day_measures(seconds: DataFrame, window_days: int) -> DataFrame:
             F.max("event_sec").alias("last_sec"),
         )
     )
+
+
+def day_measures(days: DataFrame, window_days: int) -> DataFrame:
+    """Per user and day: what lies before the day, in the days the frame covers, and in total."""
     user = Window.partitionBy("user_key")
     calendar = user.orderBy("day")
     edge = calendar.rangeBetween(-window_days, -window_days)
@@ -154,8 +192,11 @@ def day_measures(seconds: DataFrame, window_days: int) -> DataFrame:
     )
 
 
-def second_measures(seconds: DataFrame, window_days: int) -> DataFrame:
-    """Per user and second: rows and second before it, sliding amount, active days, user totals."""
+def second_measures(seconds: DataFrame, days: DataFrame, window_days: int) -> DataFrame:
+    """Per user and second: rows and second before it, sliding amount, active days, user totals.
+
+    ``days`` are all days of the users. ``seconds`` may be those of some days and of the days whose end is in their frames.
+    """
     span = window_days * DAY
     none = F.lit(0).cast("long")
     arriving = seconds.select(
@@ -182,8 +223,7 @@ def second_measures(seconds: DataFrame, window_days: int) -> DataFrame:
     rising = day.orderBy("event_sec")
     falling = day.orderBy(F.desc("event_sec"))
     in_day = (
-        arriving.unionByName(leaving)
-        .withColumn("day", _day(F.col("event_sec")))
+        with_day(arriving.unionByName(leaving))
         .select(
             "user_key",
             "day",
@@ -201,7 +241,7 @@ def second_measures(seconds: DataFrame, window_days: int) -> DataFrame:
     in_edge = F.coalesce(F.col("edge_last_sec") >= F.col("event_sec") - span, F.lit(False))
     amounts = F.col("amounts_so_far") + F.col("whole_amounts") + F.col("amounts_not_yet_left")
     sliding = F.col("day_so_far") + F.col("whole_amount") + F.col("not_yet_left")
-    return in_day.join(day_measures(seconds, window_days), ["user_key", "day"]).select(
+    return in_day.join(day_measures(days, window_days), ["user_key", "day"]).select(
         *SECOND,
         (F.col("n_before_day") + F.col("n_before_in_day")).alias("n_before"),
         F.coalesce("sec_in_day", "last_sec_before_day").alias("second_before"),
@@ -218,14 +258,16 @@ def second_measures(seconds: DataFrame, window_days: int) -> DataFrame:
 def with_past(
     keyed: DataFrame, window_days: int, max_user_rows: int, max_group_rows: int, users: DataFrame | None = None
 ) -> DataFrame:
-    """Each user by the way that suits the number of its transactions.
+    """Each user by the way that suits the number of its transactions, and those with amounts beyond the exact sums by day.
 
     The largest of the busy users, as many as may be broadcast, are set apart before anything is shuffled. Other
     busy users, if there are that many, are told from quiet ones by a join on the user, which the windows of the
     quiet ones go on from; none of them has more than its share of the rows divided by that number.
     """
-    sizes = keyed.groupBy("user_key").agg(F.count("*").alias("n"))
-    busy = as_table(sizes.where(F.col("n") > max_user_rows), "busy_users")
+    sizes = keyed.groupBy("user_key").agg(F.count("*").alias("n"), F.max(F.abs("amount")).alias("largest"))
+    # NaN is more than any number
+    large = F.coalesce(F.col("largest") * UNITS * max(max_user_rows, 1) > MAX_UNITS, F.lit(False))
+    busy = as_table(sizes.where((F.col("n") > max_user_rows) | large).drop("largest"), "busy_users")
     count = busy.count()
     if count == 0:
         return _of_quiet(keyed, window_days, users)
@@ -270,9 +312,14 @@ def with_history(
     if users is not None:
         users = users.where(F.col("user_id").isNotNull()).select(_user_key().alias("user_key"), *attached)
     past = with_past(with_user_second(transactions), scoring.window_days, max_user_rows, max_group_rows, users)
+    return history_columns(past, [*transactions.columns], scoring, attached)
+
+
+def history_columns(past: DataFrame, own: list[str], scoring: Scoring, attached: list[str] | None = None) -> DataFrame:
+    """The columns of :func:`with_history` from what lies before each row."""
     now, before = _dated(F.col("event_sec")), F.col("previous_sec")
     return past.select(
-        *transactions.columns,
+        *own,
         (F.col("n_earlier") + 1).alias("transaction_rank"),
         F.col("user_rows").alias("total_transactions_user"),
         two_decimals(F.col("sliding_amount")).alias("montant_cumule_7j"),
@@ -280,5 +327,5 @@ def with_history(
         (_day(now) - _day(before)).cast("int").alias("jours_depuis_achat_precedent"),
         ((now - before) / F.lit(60.0)).alias("delay_minutes"),
         "user_mean",
-        *attached,
+        *(attached or []),
     )

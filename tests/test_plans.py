@@ -113,3 +113,13 @@ def test_reports_join_only_what_they_read(spark, name, joined):
 def test_merchants_are_broadcast_before_the_facts_move(spark):
     text = plan(QUERIES["revenue_by_category_region"](spark, FOLDER))
     assert not [x for x in exchanges(text) if "__merchant_id" in x]
+
+
+def test_quiet_users_have_running_frames_only(tables):
+    """No frame is gathered or added up anew for each row, whatever it holds."""
+    dated = with_transaction_date(valid_rows(tables["transactions"], "transactions"))
+    text = plan(with_history(dated))
+    assert "collect_set" not in text
+    # besides neighbours (lag and lead) every frame begins with the user's first row
+    frames = re.findall(r"specifiedwindowframe\(\w+, ([^,]+), ", text)
+    assert frames and set(frames) <= {"unboundedpreceding$()", "-1", "1"}
