@@ -4,10 +4,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.rounding import two_decimals
-from basketflow.operators.ordering import MAX_GROUP_ROWS, with_rank
+from basketflow.operators.ordering import MAX_GROUP_ROWS, with_ranks
 from basketflow.schemas import AGE_GROUP_REVENUE, KPI_COLUMNS
 from basketflow.shared import as_table
 
+
 def revenue() -> list[Column]:
     """Revenue and number of transactions."""
     return [two_decimals(F.sum("amount")).alias("chiffre_affaires"), F.count("*").alias("nb_transactions")]
@@ -21,11 +22,14 @@ def age_group_revenue() -> list[Column]:
     ]
 
 
+MERCHANT = ["merchant_id", "merchant_name", "merchant_category", "region"]
+
+
 def merchant_totals(enriched: DataFrame) -> DataFrame:
     """One row per known merchant that has transactions, without ranks."""
     return (
         enriched.where(F.col("merchant_name").isNotNull())
-        .groupBy("merchant_id", "merchant_name", "merchant_category", "region")
+        .groupBy(*MERCHANT)
         .agg(
             *revenue(),
             F.count_distinct("user_id").alias("nb_clients_uniques"),
@@ -42,7 +46,10 @@ def merchant_kpis(enriched: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) ->
 
     The totals are stored before group sizes are looked at, so calling this runs the aggregation.
     """
-    ranked = as_table(merchant_totals(enriched), "merchant_totals")
-    ranked = with_rank(ranked, "merchant_category", "chiffre_affaires", "rang_ca_categorie", max_group_rows)
-    ranked = with_rank(ranked, "region", "chiffre_affaires", "rang_ca_region", max_group_rows)
-    return ranked.select(*KPI_COLUMNS)
+    return with_merchant_ranks(merchant_totals(enriched), max_group_rows)
+
+
+def with_merchant_ranks(totals: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    ranked = as_table(totals, "merchant_totals")
+    groups = {"rang_ca_categorie": "merchant_category", "rang_ca_region": "region"}
+    return with_ranks(ranked, "chiffre_affaires", groups, max_group_rows).select(*KPI_COLUMNS)
