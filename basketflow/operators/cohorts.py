@@ -27,14 +27,22 @@ def cohort_sizes(firsts: DataFrame) -> DataFrame:
 def cohort_retention(enriched: DataFrame) -> DataFrame:
     """Active users, retention and revenue per cohort and months since its start; empty cells are absent.
 
-    Transactions are first added up per user and month, so a user is at most one row per month afterwards:
-    the first of them is the cohort, and the cohort's size is the number of users active in month 0.
+    Transactions are first added up per user and month, so a user is at most one row per month afterwards.
     """
-    user_months = (
+    return retention_of(user_months(enriched))
+
+
+def user_months(enriched: DataFrame) -> DataFrame:
+    """Revenue per user and month, and the first purchase in it."""
+    return (
         _attributable(enriched)
         .groupBy("user_id", F.trunc("transaction_date", "month").alias("active_month"))
-        .agg(F.sum("amount").alias("amount"))
+        .agg(F.sum("amount").alias("amount"), F.min("transaction_date").alias("first_date"))
     )
+
+
+def retention_of(user_months: DataFrame) -> DataFrame:
+    """The first month of a user is the cohort, and its size is the number of users active in month 0."""
     joined = F.min("active_month").over(Window.partitionBy("user_id"))
     cells = (
         user_months.withColumn("joined_month", joined)
