@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, enabled: bool = False, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, enabled: bool = False, max_rows: int = MAX_BROADCAST_ROWS, rows: int | None = None
+) -> DataFrame:
     """Hint a broadcast when asked to and the table is counted to be small.
 
-    Without the hint Spark still broadcasts by its own measured sizes.
+    ``rows``, its number of rows or more, spares the count. Without the hint Spark still broadcasts by its own
+    measured sizes.
     """
-    if not enabled or df.limit(max_rows + 1).count() > max_rows:
+    if not enabled or (df.limit(max_rows + 1).count() if rows is None else rows) > max_rows:
         return df
     return F.broadcast(df)
 

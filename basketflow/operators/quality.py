@@ -30,14 +30,26 @@ def reject_rate(read: Column, rejected: Column) -> Column:
     return F.coalesce(two_decimals(F.try_divide(rejected * 100, read)), F.lit(0.0))
 
 
+def count_columns(columns: list[str], table: str, limits: Limits = Limits()) -> list[Column]:
+    """Aggregates over a raw table: rows read, rows valid, null cells."""
+    return [
+        F.count(F.lit(1)).alias("nb_lignes_lues"),
+        F.count_if(all_hold(rules_for(table, limits))).alias("nb_lignes_valides"),
+        null_cells(columns).alias("nb_valeurs_nulles"),
+    ]
+
+
 def table_counts(raw: DataFrame, table: str, limits: Limits = Limits()) -> DataFrame:
     """One row: rows read, rows valid, null cells; a single pass."""
-    return raw.agg(
-        F.lit(table).alias("dataset"),
-        F.count("*").alias("nb_lignes_lues"),
-        F.count_if(all_hold(rules_for(table, limits))).alias("nb_lignes_valides"),
-        null_cells(raw.columns).alias("nb_valeurs_nulles"),
-    )
+    return raw.agg(F.lit(table).alias("dataset"), *count_columns(raw.columns, table, limits))
+
+
+def _counts(raw: DataFrame, table: str, limits: Limits, known: dict[str, int] | None) -> DataFrame:
+    if known is None:
+        return table_counts(raw, table, limits)
+    row = [(table, *(known[name] for name in ("nb_lignes_lues", "nb_lignes_valides", "nb_valeurs_nulles")))]
+    schema = "dataset string, nb_lignes_lues long, nb_lignes_valides long, nb_valeurs_nulles long"
+    return raw.sparkSession.createDataFrame(row, schema)
 
 
 def quality_report(
@@ -46,10 +58,15 @@ def quality_report(
     products: DataFrame,
     merchants: DataFrame,
     limits: Limits = Limits(),
+    known: dict[str, dict[str, int]] | None = None,
 ) -> DataFrame:
-    """Four rows, one per raw table. Orphans are transactions whose key is in no raw reference row."""
+    """Four rows, one per raw table. Orphans are transactions whose key is in no raw reference row.
+
+    ``known`` has the values of ``count_columns`` of tables that were counted when they were written; these are not
+    scanned again.
+    """
     tables = {"transactions": transactions, "users": users, "products": products, "merchants": merchants}
-    counts = reduce(DataFrame.unionByName, (table_counts(df, name, limits) for name, df in tables.items()))
+    counts = reduce(DataFrame.unionByName, (_counts(df, name, limits, (known or {}).get(name)) for name, df in tables.items()))
     references = {"user_id": users, "product_id": products, "merchant_id": merchants}
     orphans = orphan_counts(transactions, references).select(
         F.lit("transactions").alias("dataset"),

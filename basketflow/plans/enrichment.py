@@ -28,14 +28,14 @@ def with_user(facts: DataFrame, users: DataFrame, broadcast: bool = False) -> Da
     return wide.withColumn("age_group", age_group(F.col("age")))
 
 
-def with_product(facts: DataFrame, products: DataFrame) -> DataFrame:
-    """Attributes of the product. Products are counted, and broadcast if there are few."""
-    return lookup(facts, broadcast_if_small(products, enabled=True), "product_id", PRODUCT_ATTRIBUTES)
+def with_product(facts: DataFrame, products: DataFrame, rows: int | None = None) -> DataFrame:
+    """Attributes of the product. Products are counted unless their ``rows`` are known, and broadcast if there are few."""
+    return lookup(facts, broadcast_if_small(products, enabled=True, rows=rows), "product_id", PRODUCT_ATTRIBUTES)
 
 
-def with_merchant(facts: DataFrame, merchants: DataFrame) -> DataFrame:
-    """Attributes of the transaction's own merchant. Merchants are counted, and broadcast if there are few."""
-    return lookup(facts, broadcast_if_small(merchants, enabled=True), "merchant_id", MERCHANT_ATTRIBUTES)
+def with_merchant(facts: DataFrame, merchants: DataFrame, rows: int | None = None) -> DataFrame:
+    """Attributes of the transaction's own merchant, who are counted unless their ``rows`` are known, as products are."""
+    return lookup(facts, broadcast_if_small(merchants, enabled=True, rows=rows), "merchant_id", MERCHANT_ATTRIBUTES)
 
 
 def with_dimensions(
@@ -52,14 +52,33 @@ def wide_transactions(
     merchants: DataFrame,
     scoring: Scoring = Scoring(),
     broadcast: bool = False,
+    rows: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Enriched columns plus the score evidence. All four inputs hold valid rows only."""
+    """Enriched columns plus the score evidence. All four inputs hold valid rows only.
+
+    ``rows`` has the number of rows of dimensions where it is known; others are counted before they are broadcast.
+    """
+    known = rows or {}
     # Shuffles come first and widest last: the history moves the transaction's own columns only, users meet it
     # where it is partitioned by user, and whatever one row can compute by itself (calendar, score) is added after
     # the last join.
     of_user = users.select("user_id", *(F.col(source).alias(output) for source, output in USER_ATTRIBUTES))
-    history = _with_history(transactions, scoring, broadcast_if_small(of_user, broadcast))
-    joined = with_merchant(with_product(history.withColumn("age_group", age_group(F.col("age"))), products), merchants)
+    history = _with_history(transactions, scoring, broadcast_if_small(of_user, broadcast, rows=known.get("users")))
+    facts = with_product(history.withColumn("age_group", age_group(F.col("age"))), products, known.get("products"))
+    joined = with_merchant(facts, merchants, known.get("merchants"))
+    return with_score(with_time_features(joined), scoring)
+
+
+def wide_of_history(
+    history: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    merchants: DataFrame,
+    scoring: Scoring = Scoring(),
+    broadcast: bool = False,
+) -> DataFrame:
+    """The same from transactions that have their history already, for instance those of new days."""
+    joined = with_dimensions(history, users, products, merchants, broadcast)
     return with_score(with_time_features(joined), scoring)
 
 

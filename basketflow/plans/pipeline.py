@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.operators import cohorts, merchants, products, revenue
-from basketflow.operators.quality import quality_report
+from basketflow.operators.quality import count_columns, quality_report
 from basketflow.operators.suspicion import suspicious_transactions
 from basketflow.operators.validation import rejected_rows, valid_rows
 from basketflow.plans.enrichment import enriched, wide_transactions
@@ -22,6 +22,8 @@ from basketflow.sources import readers
 # Step names (each includes the steps before it) and output names.
 STEPS = ("ingestion", "transformation", "analytics", "all")
 QUALITY_REPORT = "rapport_qualite"
+# Column of rejects, on request: the text of a row of which a cell does not fit its type.
+LINE = "ligne_illisible"
 
 # Sort keys of the outputs that have an order; a minus means falling.
 ORDER = {
@@ -42,12 +44,14 @@ SINGLE_FILE = {
 }
 
 
-def read_inputs(spark: SparkSession, paths: InputPaths) -> dict[str, DataFrame]:
+def read_inputs(spark: SparkSession, paths: InputPaths, keep_lines: bool = False) -> dict[str, DataFrame]:
+    """The four tables. With ``keep_lines`` those from text files say in a last column what an unreadable row was."""
+    line = LINE if keep_lines else None
     return {
-        "transactions": readers.read_transactions(spark, paths.transactions),
-        "users": readers.read_users(spark, paths.users),
+        "transactions": readers.read_transactions(spark, paths.transactions, line),
+        "users": readers.read_users(spark, paths.users, line),
         "products": readers.read_products(spark, paths.products),
-        "merchants": readers.read_merchants(spark, paths.merchants),
+        "merchants": readers.read_merchants(spark, paths.merchants, line),
     }
 
 
@@ -62,17 +66,24 @@ def build_outputs(
     """Output name -> DataFrame for the steps up to ``upto``. ``raw`` has the four tables by name."""
     if upto not in STEPS:
         raise ValueError(f"unknown step {upto!r}; one of {', '.join(STEPS)}")
-    keep = (reuse or Reuse("none")).keep
+    kept = reuse or Reuse("none")
+    keep = kept.keep
 
-    # every raw table is read by the report, its rejects and its valid half: parse text formats once
-    raw = {name: keep(df, f"raw_{name}") for name, df in raw.items()}
-    outputs = {QUALITY_REPORT: quality_report(**raw, limits=limits)}
+    # every raw table is read by the report, its rejects and its valid half: parse text formats once, count on the way
+    counted = {
+        name: kept.keep_counted(df, f"raw_{name}", count_columns([c for c in df.columns if c != LINE], name, limits))
+        for name, df in raw.items()
+    }
+    raw = {name: df for name, (df, _) in counted.items()}
+    known = {name: counts for name, (_, counts) in counted.items() if counts is not None}
+    outputs = {QUALITY_REPORT: quality_report(**{name: df.drop(LINE) for name, df in raw.items()}, limits=limits, known=known)}
     outputs |= {f"rejets_{name}": rejected_rows(df, name, limits) for name, df in raw.items()}
     if upto == "ingestion":
         return outputs
 
-    valid = {name: valid_rows(df, name, limits) for name, df in raw.items()}
-    wide = keep(wide_transactions(**valid, scoring=scoring, broadcast=broadcast), "wide_transactions")
+    valid = {name: valid_rows(df, name, limits).drop(LINE) for name, df in raw.items()}
+    rows = {name: counts["nb_lignes_valides"] for name, counts in known.items()}
+    wide = keep(wide_transactions(**valid, scoring=scoring, broadcast=broadcast, rows=rows), "wide_transactions")
     outputs["transactions_enrichies"] = enriched(wide)
     outputs["transactions_suspectes"] = suspicious_transactions(wide)
     if upto == "transformation":
@@ -109,13 +120,14 @@ def run_pipeline(
     broadcast: bool = False,
     day: date | None = None,
     keep_tables: bool = False,
+    keep_lines: bool = False,
 ) -> list[str]:
     """Read the inputs, write every output of the steps up to ``upto`` and return their names.
 
-    Intermediate tables are deleted at the end, also of a failed run, unless ``keep_tables``.
+    With ``keep_lines`` rejects also hold the text of rows that could not be read. Intermediate tables are deleted at the end, also of a failed run, unless ``keep_tables``.
     """
     with run_folder(spark, keep=keep_tables), Reuse(reuse) as kept:
-        outputs = build_outputs(read_inputs(spark, paths), upto, limits, scoring, kept, broadcast)
+        outputs = build_outputs(read_inputs(spark, paths, keep_lines), upto, limits, scoring, kept, broadcast)
         write_outputs(outputs, output, day or date.today())
     return list(outputs)
 
@@ -136,6 +148,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--reuse", choices=Reuse.MODES, default="table")
     parser.add_argument("--broadcast", action="store_true", help="broadcast users too, if counted to be few")
     parser.add_argument("--keep-tables", action="store_true", help="leave intermediate tables in the shared folder")
+    parser.add_argument("--keep-lines", action="store_true", help="rejects also hold the text of unreadable rows")
     for settings in (Limits, Scoring):
         for option in fields(settings):
             name = f"--{option.name.replace('_', '-')}"
@@ -159,6 +172,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
             reuse=chosen.reuse,
             broadcast=chosen.broadcast,
             keep_tables=chosen.keep_tables,
+            keep_lines=chosen.keep_lines,
         )
     finally:
         spark.stop()

@@ -1,11 +1,12 @@
 """Keeping a frame for several uses, and letting go of it."""
 
+from collections.abc import Sequence
 from contextlib import AbstractContextManager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
-from basketflow.shared import as_table
+from basketflow.shared import as_counted_table, as_table
 
 
 class Reuse(AbstractContextManager):
@@ -31,6 +32,10 @@ class Reuse(AbstractContextManager):
             self._persisted.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return df
 
+    def keep_counted(self, df: DataFrame, name: str, counts: Sequence[Column]) -> tuple[DataFrame, dict | None]:
+        """Also aggregates over all rows where the frame is written, None where it is not."""
+        return as_counted_table(df, name, counts) if self.mode == "table" else (self.keep(df, name), None)
+
     def __exit__(self, *exc_info) -> None:
         while self._persisted:
             self._persisted.pop().unpersist()

@@ -1,4 +1,5 @@
 from collections import Counter
+from dataclasses import replace
 from datetime import date
 from functools import partial
 from pathlib import Path
@@ -7,6 +8,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from basketflow.operators.validation import valid_rows
 from basketflow.plans import pipeline
 from basketflow.plans.reuse import Reuse
 from basketflow.settings import InputPaths, Limits, Scoring
@@ -179,3 +181,40 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     table = as_table(spark.range(10), "ten")
     assert table.count() == 10
     assert all(file.startswith(f"file://{folder}") or file.startswith(f"file:{folder}") for file in table.inputFiles())
+
+
+def test_known_sizes_spare_the_count(spark, inputs):
+    """Dimensions that were counted when they were written are broadcast, or not, without a job."""
+    raw = {name: as_table(df, name) for name, df in pipeline.read_inputs(spark, inputs).items()}
+    asked = []
+    counted = pipeline.wide_transactions
+
+    def wide(**arguments):
+        asked.append(arguments["rows"])
+        return counted(**arguments)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pipeline, "wide_transactions", wide)
+        pipeline.build_outputs(raw, "transformation", reuse=Reuse("table"))
+        pipeline.build_outputs(raw, "transformation")
+    valid = {name: valid_rows(df, name).count() for name, df in raw.items()}
+    assert asked == [valid, {}]
+
+
+def test_lines_of_unreadable_rows_on_request(spark, inputs, tmp_path):
+    folder = tmp_path / "bad.csv"
+    folder.mkdir()
+    header = ",".join(pipeline.read_inputs(spark, inputs)["transactions"].columns)
+    bad = "T1,U1,P1,M1,abc,20240101120000,Paris,CARD,Books"
+    (folder / "part.csv").write_text(f"{header}\n{bad}\nT2,U1,P1,M1,2.5,20240101120000,Paris,CARD,Books\n")
+    paths = replace(inputs, transactions=str(folder))
+    out = str(tmp_path / "out")
+    pipeline.run_pipeline(spark, paths, out, "transformation", keep_lines=True, day=date(2026, 1, 1))
+    rejected = spark.read.parquet(f"{out}/parquet/rejets_transactions")
+    assert [(r.transaction_id, r[pipeline.LINE]) for r in rejected.collect()] == [("T1", bad)]
+    assert pipeline.LINE not in spark.read.parquet(f"{out}/parquet/transactions_enrichies").columns
+    report = spark.read.csv(f"{out}/rapport_qualite_20260101", header=True).where("dataset = 'transactions'").first()
+    assert (report.nb_lignes_lues, report.nb_lignes_valides, report.nb_valeurs_nulles) == ("2", "1", "1")
+    plain = str(tmp_path / "plain")
+    pipeline.run_pipeline(spark, paths, plain, "ingestion", day=date(2026, 1, 1))
+    assert pipeline.LINE not in spark.read.parquet(f"{plain}/parquet/rejets_transactions").columns

@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from basketflow.operators.joins import duplicate_keys, orphan_counts
-from basketflow.operators.quality import null_cells, quality_report, reject_rate
+from basketflow.operators.quality import count_columns, null_cells, quality_report, reject_rate
+from basketflow.shared import as_counted_table
 from tests import builders
 from tests.builders import by_key
 
@@ -44,6 +45,23 @@ def test_report_uses_raw_references(spark):
     }
 
 
+def test_report_from_counts_of_the_write(spark):
+    """Counts that the write of a table gives equal those of a scan, and the report scans transactions for keys only."""
+    tables = {
+        "transactions": builders.transactions(spark, {}, {"merchant_id": "M9"}, {"amount": None}),
+        "users": builders.users(spark, {"age": 3}),
+        "products": builders.products(spark, {}).limit(0),
+        "merchants": builders.merchants(spark, {}),
+    }
+    stored, known = {}, {}
+    for name, df in tables.items():
+        stored[name], known[name] = as_counted_table(df, name, count_columns(df.columns, name))
+    report = quality_report(**stored, known=known)
+    scans = [line for line in report._jdf.queryExecution().executedPlan().toString().splitlines() if "Scan parquet" in line]
+    assert len(scans) == 4 and not any("amount" in line for line in scans)
+    assert sorted(report.collect()) == sorted(quality_report(**tables).collect())
+
+
 def test_report_of_empty_tables(spark):
     tables = [getattr(builders, name)(spark, {}).limit(0) for name in ("transactions", "users", "products", "merchants")]
     assert {tuple(row)[1:] for row in quality_report(*tables).collect()} == {(0, 0, 0, 0.0, 0, 0, 0, 0)}

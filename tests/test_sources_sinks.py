@@ -3,6 +3,7 @@ from datetime import date
 
 import pytest
 
+from basketflow.operators.validation import rejected_rows
 from basketflow.sinks.writers import flatten_arrays, write_csv_and_parquet, write_dated_report
 from basketflow.sources import readers
 from tests import builders
@@ -18,6 +19,39 @@ def test_csv_cells_that_do_not_fit_become_null(spark, tmp_path):
     assert (second.user_id, second.amount, second.payment_method) == (None, 2.5, None)
 
 
+def test_unreadable_rows_on_request(spark, tmp_path):
+    """The line of a row with a cell that does not fit; the other columns are as without it."""
+    file = tmp_path / "transactions.csv"
+    bad = "T1,U1,P1,M1,abc,00240101120000,Paris,CARD,Books"
+    file.write_text(f"{HEADER}\n{bad}\nT2,,P1,M1,2.5,2024,Paris,,Books\nT3,U1\n")
+    plain = readers.read_transactions(spark, str(file)).orderBy("transaction_id")
+    wider = readers.read_transactions(spark, str(file), "line").orderBy("transaction_id")
+    assert wider.columns == [*plain.columns, "line"]
+    assert wider.drop("line").collect() == plain.collect()
+    assert [row.line for row in wider.collect()] == [bad, None, "T3,U1"]
+    rejected = rejected_rows(wider, "transactions").where("transaction_id = 'T1'").first()
+    assert (rejected.line, rejected.rejection_reason) == (bad, "amount <= 0")
+
+
+def test_unreadable_users_on_request(spark, tmp_path):
+    file = tmp_path / "users.json"
+    file.write_text('{"user_id": "U1", "age": 30}\nnot json\n{"user_id": "U2", "age": "old"}\n')
+    rows = readers.read_users(spark, str(file), "line").select("user_id", "age", "line").collect()
+    assert sorted((str(r.user_id), r.age, r.line) for r in rows) == [
+        ("None", None, "not json"),
+        ("U1", 30, None),
+        ("U2", None, '{"user_id": "U2", "age": "old"}'),
+    ]
+
+
+def test_shuffled_columns_are_refused_also_with_lines(spark, tmp_path):
+    file = tmp_path / "transactions.csv"
+    names = HEADER.split(",")
+    file.write_text(",".join([names[1], names[0], *names[2:]]) + "\nU1,T1,P1,M1,1.0,2024,Paris,CARD,Books\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_transactions(spark, str(file), "line").collect()
+
+
 def test_csv_with_shuffled_columns_is_refused(spark, tmp_path):
     file = tmp_path / "transactions.csv"
     names = HEADER.split(",")
