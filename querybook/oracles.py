@@ -257,8 +257,9 @@ _BODIES = {
         panier_moyen_user, ecart_panier_moyen_pct, day_period, delai_precedente_minutes, payment_method,
         cond_montant, cond_night, cond_delai, cond_crypto, nb_conditions, is_suspicious
         from scored where is_suspicious = 1""",
-    **{name: f"select transaction_id, {_HISTORY} from scored" for name in ("history_by_day", "history_mixed")},
+    **{name: f"select transaction_id, {_HISTORY} from scored" for name in ("history_by_day", "history_mixed", "history_two_loads")},
     "enriched_transactions": f"select {_ENRICHED} from scored",
+    "enriched_two_loads": f"select {_ENRICHED} from scored",
     "pipeline_enriched": f"select {_ENRICHED} from scored",
     "pipeline_other_thresholds": f"select {_ENRICHED} from scored",
     "pipeline_report": _REPORT,
@@ -266,7 +267,7 @@ _BODIES = {
         name: """select merchant_id, merchant_name, merchant_category, region, chiffre_affaires,
         nb_transactions, nb_clients_uniques, montant_moyen, rang_ca_categorie, rang_ca_region, commission_totale,
         ca_jeune, ca_adulte, ca_age_moyen, ca_senior, taux_suspectes_pct from merchant_ranked"""
-        for name in ("merchant_kpis", "merchant_kpis_by_sort", "pipeline_kpis")
+        for name in ("merchant_kpis", "merchant_kpis_by_sort", "merchant_kpis_two_loads", "pipeline_kpis")
     },
     "merchant_ranks": """select merchant_id, merchant_category, region, chiffre_affaires, rang_ca_categorie,
         rang_ca_region from merchant_ranked""",
@@ -286,8 +287,8 @@ _BODIES = {
         {_r2('chiffre_affaires / (select sum(chiffre_affaires) from payment_cells) * 100')} as part_ca_pct
         from payment_cells""",
     "first_purchase": "select user_id, first_date, cohort_month from firsts",
-    "cohort_sizes": "select cohort_month, taille_cohorte from sizes",
-    "cohort_retention": "select * from retention",
+    **{name: "select cohort_month, taille_cohorte from sizes" for name in ("cohort_sizes", "cohort_sizes_by_bitmap")},
+    **{name: "select * from retention" for name in ("cohort_retention", "cohort_retention_two_loads")},
     "written_order": """select row_number() over (order by cohort_month, period_index) as line, cohort_month,
         period_index from retention""",
     "best_cohort_3m": """select cohort_month, taille_cohorte, nb_utilisateurs_actifs as nb_utilisateurs_actifs_m3,

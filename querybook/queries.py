@@ -1,7 +1,7 @@
 """Every registered query: name -> function of (session, folder of driver tables)."""
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +11,18 @@ from pyspark.sql.window import Window
 from basketflow.functions.calendar import with_calendar, with_time_features, with_transaction_date
 from basketflow.functions.labels import age_group
 from basketflow.operators import cohorts, merchants, products, revenue
+from basketflow.operators.cohort_store import CohortStore
 from basketflow.operators.history import with_history
+from basketflow.operators.history_store import HistoryStore
 from basketflow.operators.joins import duplicate_keys, lookup, orphan_counts
+from basketflow.operators.merchant_store import MerchantStore
 from basketflow.operators.quality import quality_report, table_counts
 from basketflow.operators.suspicion import suspicious_transactions, with_score
 from basketflow.operators.validation import REASON, rejected_rows, tagged_rows, valid_rows
 from basketflow.plans.enrichment import (
     enriched,
     scored_transactions,
+    wide_of_history,
     wide_transactions,
     with_dimensions,
     with_merchant,
@@ -28,7 +32,7 @@ from basketflow.plans.enrichment import (
 from basketflow.plans.pipeline import ORDER, run_pipeline
 from basketflow.schemas import MERCHANT_ATTRIBUTES, PRODUCT_ATTRIBUTES, SCORE_COLUMNS, USER_ATTRIBUTES
 from basketflow.settings import InputPaths, Limits, Scoring
-from basketflow.shared import new_path
+from basketflow.shared import as_table, new_path
 from basketflow.sinks.writers import flatten_arrays, write_csv_and_parquet
 from basketflow.sources import readers
 from querybook.fixtures import view, views
@@ -276,6 +280,35 @@ def _large_scale_query(name: str, **bounds: int) -> None:
 
 _large_scale_query("history_by_day", max_user_rows=0)
 _large_scale_query("history_mixed", max_user_rows=50, max_group_rows=1)
+
+
+def _two_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions of valid rows with their history, from a store that is loaded in two halves.
+
+    The days of the second half come from the rows of these days and the state; rows without a date are in both halves.
+    """
+    dated = with_transaction_date(_valid(spark, folder, "transactions"))
+    first, last = dated.agg(F.to_date(F.min("transaction_date")), F.to_date(F.max("transaction_date"))).first()
+    middle = first + (last - first) // 2
+    late = F.coalesce(F.to_date("transaction_date") > middle, F.crc32(F.col("transaction_id").cast("binary")) % 2 == 0)
+    store = HistoryStore(spark, new_path(spark, "history"))
+    store.load("first", dated.where(~late))
+    store.fold(middle - timedelta(days=8))
+    store.load("second", dated.where(late))
+    return store.history(last=middle).unionByName(store.history(first=middle + timedelta(days=1)))
+
+
+@query("history_two_loads")
+def history_two_loads(spark, folder):
+    return with_score(with_time_features(_two_loads(spark, folder))).select("transaction_id", *HISTORY)
+
+
+@query("enriched_two_loads")
+def enriched_two_loads(spark, folder):
+    dimensions = {name: _valid(spark, folder, name) for name in KEYS}
+    return enriched(wide_of_history(_two_loads(spark, folder), **dimensions))
+
+
 QUERIES["enriched_transactions"] = lambda spark, folder: enriched(_wide(spark, folder))
 
 
@@ -300,6 +333,21 @@ def merchant_kpis_by_sort(spark, folder):
     return merchants.merchant_kpis(_wide(spark, folder), max_group_rows=1)
 
 
+def _halves(transactions: DataFrame) -> list[tuple[str, DataFrame]]:
+    """Two batches that share days, merchants and users."""
+    half = F.crc32(F.col("transaction_id").cast("binary")) % 2
+    return [(f"half-{k}", transactions.where(half == k)) for k in range(2)]
+
+
+@query("merchant_kpis_two_loads")
+def merchant_kpis_two_loads(spark, folder):
+    """The same from daily partial results of two batches, distinct users from bitmaps."""
+    store = MerchantStore(spark, new_path(spark, "merchants"))
+    for batch, rows in _halves(as_table(_wide(spark, folder), "wide")):
+        store.load(batch, rows)
+    return merchants.with_merchant_ranks(store.totals())
+
+
 # The reports below need neither history nor score, and each joins only the dimensions it reads.
 
 
@@ -344,6 +392,23 @@ def cohort_retention(spark, folder):
     return cohorts.cohort_retention(_long(spark, folder))
 
 
+def _cohort_store(spark: SparkSession, folder: str) -> CohortStore:
+    store = CohortStore(spark, new_path(spark, "cohorts"))
+    for batch, rows in _halves(_long(spark, folder)):
+        store.load(batch, rows)
+    return store
+
+
+@query("cohort_retention_two_loads")
+def cohort_retention_two_loads(spark, folder):
+    return _cohort_store(spark, folder).retention()
+
+
+@query("cohort_sizes_by_bitmap")
+def cohort_sizes_by_bitmap(spark, folder):
+    return _cohort_store(spark, folder).sizes()
+
+
 @query("best_cohort_3m")
 def best_cohort_3m(spark, folder):
     return cohorts.best_cohort(cohorts.cohort_retention(_long(spark, folder)))
