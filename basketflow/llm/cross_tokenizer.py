@@ -15,6 +15,7 @@ of which none is frequent, are joined.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ LONG_CHARS, SHARE_CHARS = 400_000, 100_000
 RANGE_BYTES, FAN_IN = 65_536, 8
 #: Pairs with more than one in so many of all links are broadcast, so there are at most as many; 24 bytes each.
 RARE = 1 << 20
-#: Words whose ids a worker remembers; distinct pairs that a task adds up before it sends them.
-REMEMBERED, PAIRS_AT_ONCE = 200_000, 1_000_000
+#: Distinct pairs that a task adds up before it sends them.
+PAIRS_AT_ONCE = 1_000_000
 
 _SPACE = "▁"
 _EMPTY = np.zeros(0, np.int32)
@@ -47,36 +49,45 @@ _EMPTY = np.zeros(0, np.int32)
 Counts = tuple[np.ndarray, np.ndarray]
 
 
+class Merges:
+    """A byte-level BPE file of the tokenizers library, encoded by its merges in order of their ids."""
+
+    def __init__(self, path: str):
+        own = codec(path)
+        self.tokens, self._slow = own.tokens, own.encode
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        order = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        ranks = {t: i for i, t in enumerate(self.tokens) if t}
+        # ids that rise with the merges are ranks, which the faster library takes
+        as_ranks = order == sorted(order) and all(bytes([b]) in ranks for b in range(256)) and len(ranks) == 256 + len(order)
+        self._fast = tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}) if as_ranks else None
+
+    def encode(self, text: str) -> np.ndarray:
+        return self._slow(text) if self._fast is None else np.array(self._fast.encode_ordinary(text), dtype=np.int32)
+
+
+@lru_cache(maxsize=2)
+def merges(path: str | None) -> Merges:
+    return Merges(path or public_tokenizers.path(VOCABULARY_A))
+
+
 class Pieces:
-    """A SentencePiece vocabulary. No piece of it goes on past a word's end, so words are encoded one by one."""
+    """A SentencePiece vocabulary."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [model.id_to_piece(i) for i in range(model.vocab_size())]
         self.tokens = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(names)]
-        self._encode = model.encode
-        self._space = np.array([model.piece_to_id(_SPACE)], dtype=np.int32).tobytes()
-        self._by_words = not any(_SPACE in p.lstrip(_SPACE) for p in names)
-        self._words = re.compile(" +[^ ]*|[^ ]+").findall
-        self._known: dict[str, bytes | None] = {}
-
-    def _ids(self, word: str) -> bytes | None:
-        """Ids of a space and what follows it, None if they do not spell it."""
-        ids = np.array(self._encode(word[1:]), dtype=np.int32).tobytes() if word != " " else self._space
-        return ids if b"".join([self.tokens[i] for i in np.frombuffer(ids, np.int32)]) == word.encode() else None
+        self._encode, self._space = model.encode, [model.piece_to_id(_SPACE)]
+        #: No piece goes on past a word's end, so a text may be cut there.
+        self.ends_words = not any(_SPACE in p.lstrip(_SPACE) for p in names)
 
     def encode(self, spaced: str) -> np.ndarray | None:
         """Ids of a text that begins with a space (which the library would add), None if they do not spell it."""
-        if not self._by_words:
-            raw = self._ids(spaced)
-            return None if raw is None else np.frombuffer(raw, np.int32)
-        known, words = self._known, self._words(spaced)
-        if len(known) > REMEMBERED:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = self._ids(word)
-        found = [known[w] for w in words]
-        return None if None in found else np.frombuffer(b"".join(found), np.int32)
+        ids = self._encode(spaced[1:]) if len(spaced) > 1 else self._space
+        spelt = b"".join(map(self.tokens.__getitem__, ids)) == spaced.encode()
+        return np.array(ids, dtype=np.int32) if spelt else None
 
 
 @lru_cache(maxsize=2)
@@ -84,11 +95,21 @@ def pieces(path: str | None) -> Pieces:
     return Pieces(path or public_tokenizers.path(VOCABULARY_B))
 
 
+@dataclass
+class Aligned:
+    """Where groups end, ``a1,a2|b1;`` of each group token by token, and links: pair of ids and where the overlap ends."""
+
+    common: np.ndarray
+    parts: list[bytes]
+    pairs: np.ndarray
+    ends: np.ndarray
+
+
 class Pair:
     """Both tokenizers: ids of a text, lengths of tokens, and their decimal ids with what may follow them."""
 
     def __init__(self, path_a: str | None, path_b: str | None):
-        self._a, self._b = codec(path_a or public_tokenizers.path(VOCABULARY_A)), pieces(path_b)
+        self._a, self._b = merges(path_a), pieces(path_b)
         self.size_a, self.size_b = (np.array([len(t) for t in x.tokens], dtype=np.int64) for x in (self._a, self._b))
         self.width = len(self.size_b)
         self._a_more, self._a_last = self._names(self.size_a, b",", b"|")
@@ -107,21 +128,22 @@ class Pair:
         # a byte-level tokenizer may leave bytes out, but never changes them
         return (a, b) if self.size_a[a].sum() == self.size_b[b].sum() else None
 
-    def groups(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, common: np.ndarray) -> list[bytes]:
-        """``a1,a2|b1;`` for each group, token by token."""
-        of_a, of_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+    def aligned(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> Aligned:
+        """Tokens that begin together at the byte 0 and end together. Bytes are marked, so that nothing is sorted."""
+        here_a, here_b = (np.zeros(int(end_a[-1]) + 1, dtype=bool) for _ in range(2))
+        here_a[end_a], here_b[end_b] = True, True
+        common = here_a & here_b
+        ends = np.flatnonzero(here_a | here_b)
+        # how many tokens, or groups, end up to each byte
+        upto_a, upto_b, upto = (np.cumsum(x, dtype=np.int32) for x in (here_a, here_b, common))
+        pairs = a[upto_a[ends - 1]].astype(np.int64) * self.width + b[upto_b[ends - 1]]
+        last_a, last_b = common[end_a], common[end_b]
+        group_a, group_b = upto[end_a - 1], upto[end_b - 1]
+        until_a, until_b = (np.append(0, np.flatnonzero(x) + 1) for x in (last_a, last_b))
         parts = np.empty(len(a) + len(b), dtype=object)
-        last = end_a == common[of_a]
-        parts[np.arange(len(a)) + np.searchsorted(of_b, of_a)] = np.where(last, self._a_last[a], self._a_more[a])
-        last = end_b == common[of_b]
-        parts[np.arange(len(b)) + np.searchsorted(of_a, of_b, "right")] = np.where(last, self._b_last[b], self._b_more[b])
-        return parts.tolist()
-
-    def links(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The linked pair of each stretch between neighbouring ends, and where the stretch ends."""
-        ends = np.union1d(end_a, end_b)
-        pair = a[np.searchsorted(end_a, ends)].astype(np.int64) * self.width + b[np.searchsorted(end_b, ends)]
-        return pair, ends
+        parts[np.arange(len(a)) + until_b[group_a]] = np.where(last_a, self._a_last[a], self._a_more[a])
+        parts[np.arange(len(b)) + until_a[group_b + 1]] = np.where(last_b, self._b_last[b], self._b_more[b])
+        return Aligned(np.flatnonzero(common), parts.tolist(), pairs, ends)
 
 
 @lru_cache(maxsize=2)
@@ -184,10 +206,8 @@ def _joined(left, right):
 
 def _closed(a: np.ndarray, b: np.ndarray, pair: Pair) -> Fragment:
     """Tokens that begin and end together."""
-    end_a, end_b = np.cumsum(pair.size_a[a]), np.cumsum(pair.size_b[b])
-    common = np.intersect1d(end_a, end_b)
-    found, _ = pair.links(a, b, end_a, end_b)
-    return Fragment((_EMPTY, _EMPTY), (_EMPTY, _EMPTY), len(common), b"".join(pair.groups(a, b, end_a, end_b, common)), (_counted(found),))
+    found = pair.aligned(a, b, np.cumsum(pair.size_a[a]), np.cumsum(pair.size_b[b]))
+    return Fragment((_EMPTY, _EMPTY), (_EMPTY, _EMPTY), len(found.common), b"".join(found.parts), (_counted(found.pairs),))
 
 
 def fragment(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, pair: Pair) -> Fragment:
@@ -199,9 +219,8 @@ def fragment(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray,
     prefix, suffix = (a[:from_a], b[:from_b]), (a[to_a:], b[to_b:])
     if from_a == to_a:
         return Fragment(prefix, suffix)
-    closed = a[from_a:to_a], b[from_b:to_b], end_a[from_a:to_a], end_b[from_b:to_b]
-    found, _ = pair.links(*closed)
-    return Fragment(prefix, suffix, len(common) - 1, b"".join(pair.groups(*closed, common[1:])), (_counted(found),))
+    closed = _closed(a[from_a:to_a], b[from_b:to_b], pair)
+    return Fragment(prefix, suffix, closed.n_groups, closed.text, closed.links)
 
 
 def fragments(a: np.ndarray, b: np.ndarray, pair: Pair, size: int = RANGE_BYTES) -> Iterator[Fragment]:
@@ -269,16 +288,14 @@ def _many(piece: list[tuple], pair: Pair) -> list[tuple]:
         return done
     a, b = (np.concatenate([x[k] for x in held]) for k in (2, 3))
     end_a, end_b = np.cumsum(pair.size_a[a]), np.cumsum(pair.size_b[b])
-    common = np.intersect1d(end_a, end_b, assume_unique=True)
-    parts = pair.groups(a, b, end_a, end_b, common)
-    found, ends = pair.links(a, b, end_a, end_b)
+    found = pair.aligned(a, b, end_a, end_b)
     until_a, until_b = (np.cumsum([len(x[k]) for x in held]) for k in (2, 3))
-    until_group = np.searchsorted(common, end_a[until_a - 1], "right")
-    until_link = np.searchsorted(ends, end_a[until_a - 1], "right")
+    until_group = np.searchsorted(found.common, end_a[until_a - 1], "right")
+    until_link = np.searchsorted(found.ends, end_a[until_a - 1], "right")
     begin_a = begin_b = begin_group = begin_link = 0
     for k, (row, doc_id, *_) in enumerate(held):
-        text = b"".join(parts[begin_a + begin_b : until_a[k] + until_b[k]])
-        whole = Fragment(n_groups=int(until_group[k] - begin_group), text=text, links=(_counted(found[begin_link : until_link[k]]),))
+        text = b"".join(found.parts[begin_a + begin_b : until_a[k] + until_b[k]])
+        whole = Fragment(n_groups=int(until_group[k] - begin_group), text=text, links=(_counted(found.pairs[begin_link : until_link[k]]),))
         done.append(_row(row, doc_id, int(until_a[k] - begin_a), int(until_b[k] - begin_b), whole))
         begin_a, begin_b, begin_group, begin_link = until_a[k], until_b[k], until_group[k], until_link[k]
     return done
@@ -318,9 +335,10 @@ def _shared_out(docs: DataFrame, path_a: str | None, path_b: str | None, share:
     share_schema, part_schema, row_schema = (arrow_types(x) for x in (share_row, _PART, _ROW))
 
     def cut(batches):
+        ends_words = pieces(path_b).ends_words
         for batch in batches:
             for row, doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                begins = cut_points(text, share)
+                begins = cut_points(text, share) if ends_words else [0]
                 for seq, (begin, end) in enumerate(zip(begins, [*begins[1:], len(text)], strict=True)):
                     yield _batch([(row, doc_id, seq, text[begin:end])], share_schema)
 

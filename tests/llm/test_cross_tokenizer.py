@@ -51,7 +51,13 @@ class Plain:
         results, corpus, found = [], Counter(), [self.tokens(t) for t in texts]
         links_of = []
         for tokens in found:
-            links = [] if tokens is None else [(x, y) for x, p, q in tokens[0] for y, r, s in tokens[1] if p < s and r < q]
+            links, first = [], 0
+            for x, p, q in tokens[0] if tokens else []:
+                first = next(k for k in range(first, len(tokens[1])) if tokens[1][k][2] > p)
+                k = first
+                while k < len(tokens[1]) and tokens[1][k][1] < q:
+                    links.append((x, tokens[1][k][0]))
+                    k += 1
             links_of.append(links)
             corpus.update(links)
         most = defaultdict(int)
@@ -63,11 +69,15 @@ class Plain:
                 continue
             a, b = tokens
             common = sorted({e for *_, e in a} & {e for *_, e in b})
-            groups, begin = [], 0
+            groups, rest = [], [side[::-1] for side in (a, b)]
             for end in common:
-                sides = [",".join(str(i) for i, p, q in side if begin <= p and q <= end) for side in (a, b)]
+                sides = []
+                for side in rest:
+                    own = []
+                    while side and side[-1][2] <= end:
+                        own.append(str(side.pop()[0]))
+                    sides.append(",".join(own))
                 groups.append("|".join(sides))
-                begin = end
             digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
             best = sum(corpus[p] == most[p[1]] for p in links)
             results.append((len(a), len(b), len(groups), len(links), best, sum(corpus[p] for p in links), digest))
