@@ -28,15 +28,23 @@ class Steps:
     def __len__(self) -> int:
         return len(self.active)
 
-    def forward(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scaled forward values and the scale of each element; ``emit`` is in this layout."""
-        values, scales = np.empty_like(emit), np.empty(len(emit), dtype=emit.dtype)
+    def forward(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Scaled forward values and the scale of each element; ``emit`` is in this layout.
+
+        With ``every`` only each so manieth step is scaled and the others have scale 1; ``emit`` should then be near 1.
+        """
+        values, scales = np.empty_like(emit), np.ones(len(emit), dtype=emit.dtype)
         before = None
-        for n, a, b in zip(self.active, self.bounds[:-1], self.bounds[1:], strict=True):
-            now = (start if before is None else before[:n] @ move) * emit[a:b]
-            scale = now.sum(axis=1)
-            now /= scale[:, None]
-            values[a:b], scales[a:b] = now, scale
+        for t, (n, a, b) in enumerate(zip(self.active, self.bounds[:-1], self.bounds[1:], strict=True), 1):
+            now = values[a:b]
+            if before is None:
+                np.multiply(start, emit[a:b], out=now)
+            else:
+                np.matmul(before[:n], move, out=now)
+                now *= emit[a:b]
+            if t % every == 0:
+                scales[a:b] = now.sum(axis=1)
+                now /= scales[a:b, None]
             before = now
         return values, scales
 
@@ -46,5 +54,14 @@ class Steps:
         weighted = emit / scales[:, None]
         for t in range(len(self) - 2, -1, -1):
             a, b, c = self.bounds[t], self.bounds[t + 1], self.bounds[t + 2]
-            values[a : a + c - b] = (weighted[b:c] * values[b:c]) @ turned
+            np.matmul(weighted[b:c] * values[b:c], turned, out=values[a : a + c - b])
         return values
+
+    def before(self) -> np.ndarray:
+        """Where the element before it is, for all elements but the first of each chain, in this layout."""
+        first = self.bounds[1] if len(self) else 0
+        return np.arange(first, self.bounds[-1]) - np.repeat(self.active[:-1], self.active[1:])
+
+    def last(self, lengths: np.ndarray) -> np.ndarray:
+        """Where the last element of each chain of one or more is."""
+        return self.place[np.cumsum(lengths)[lengths > 0] - 1]

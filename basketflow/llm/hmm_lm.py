@@ -31,6 +31,8 @@ END = b""
 #: In training, chains longer than this are cut; the later parts begin in any state. Scores never cut a chain.
 PART = 1_024
 TOKENS_AT_ONCE = 600_000
+#: Steps of a recursion between two scalings; emissions are taken relative to the largest of their class.
+SCALE_EVERY = 16
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -77,6 +79,7 @@ class Lexicon:
     tokens: int
     distinct: int
     log_class_totals: np.ndarray
+    class_counts: np.ndarray
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
@@ -91,16 +94,22 @@ def lexicon(counts: DataFrame) -> Lexicon:
     own = {words[i] for i in ranked[:OWN_CLASSES]} | {END}
     if END in words:
         classes[words.index(END)] = 0
-    totals = np.zeros(CLASSES)
+    totals, distinct_of = np.zeros(CLASSES), np.zeros(CLASSES)
     ending = F.crc32(F.substring("token", -2, 2)) % ENDING_CLASSES
     for r in counts.where("length(token) > 0").groupBy(ending.alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
         totals[1 + OWN_CLASSES + r["k"]] = r["n"] + r["v"]
+        distinct_of[1 + OWN_CLASSES + r["k"]] = r["v"]
     for w, n in zip(words, c, strict=True):
         if w in own and w != END:
             totals[ending_class(w)] -= n + 1
+            distinct_of[ending_class(w)] -= 1
+    class_counts = totals - distinct_of
+    for w, k, n in zip(words, classes, c, strict=True):
+        if w in own:
+            class_counts[k] = n
     logs = np.log10(totals + 1)
     logs[: 1 + OWN_CLASSES] = 0
-    return Lexicon({w: i for i, w in enumerate(words)}, classes, np.log10(c + 1.0), tokens, distinct, logs)
+    return Lexicon({w: i for i, w in enumerate(words)}, classes, np.log10(c + 1.0), tokens, distinct, logs, class_counts)
 
 
 def encoded(docs: DataFrame, sent) -> DataFrame:
@@ -155,28 +164,37 @@ class Hmm:
             share = share @ self.move
         return share / share.sum()
 
+    def _laid(self, classes: np.ndarray, lengths: np.ndarray) -> tuple[Steps, np.ndarray, np.ndarray, np.ndarray]:
+        """Chains step by step, their classes and emissions in that layout, and the largest emission of each class."""
+        steps, peak = Steps(lengths), self.emit.max(axis=1)
+        laid = np.empty_like(classes)
+        laid[steps.place] = classes
+        return steps, laid, (self.emit / peak[:, None])[laid], peak
+
     def log10(self, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """log10 likelihood of each chain, by the scaled forward recursion over whole chains."""
-        steps = Steps(lengths)
-        laid = np.empty((len(classes), self.states))
-        laid[steps.place] = self.emit[classes]
-        scales = steps.forward(self.start, self.move, laid)[1]
-        return np.bincount(steps.chain, np.log10(scales[steps.place]), len(lengths))
+        steps, laid, emit, peak = self._laid(classes, lengths)
+        values, scales = steps.forward(self.start, self.move, emit, SCALE_EVERY)
+        logs = np.log10(scales) + np.log10(peak)[laid]
+        total = np.bincount(steps.chain, logs[steps.place], len(lengths))
+        total[lengths > 0] += np.log10(values[steps.last(lengths)].sum(axis=1))
+        return total
 
     def expected(self, classes: np.ndarray, lengths: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected first states, moves and emissions (classes x states) of chains that begin in ``start``."""
-        steps = Steps(lengths)
-        laid = np.empty((len(classes), self.states))
-        laid[steps.place] = self.emit[classes]
-        forward, scales = steps.forward(start, self.move, laid)
-        backward = steps.backward(self.move, laid, scales)
-        firsts = (forward[: steps.bounds[1]] * backward[: steps.bounds[1]]).sum(axis=0)
-        into = laid * backward / scales[:, None]
-        later = np.flatnonzero(np.arange(len(classes)) - np.repeat(np.cumsum(lengths) - lengths, lengths) > 0)
-        moves = forward[steps.place[later - 1]].T @ into[steps.place[later]] * self.move
-        both = (forward * backward)[steps.place]
-        emitted = np.stack([np.bincount(classes, both[:, k], CLASSES) for k in range(self.states)], axis=1)
-        return firsts, moves, emitted
+        steps, laid, emit, _ = self._laid(classes, lengths)
+        forward, scales = steps.forward(start, self.move, emit, SCALE_EVERY)
+        backward = steps.backward(self.move, emit, scales)
+        both = forward * backward
+        # the likelihood of the chain, as far as it is not in the scales
+        both /= both.sum(axis=1, keepdims=True)
+        before = steps.before()
+        from_, into = forward[before], (emit * backward)[len(emit) - len(before) :]
+        into /= ((from_ @ self.move) * into).sum(axis=1, keepdims=True)
+        moves = from_.T @ into * self.move
+        by_state = np.ascontiguousarray(both.T)
+        emitted = np.stack([np.bincount(laid, x, CLASSES) for x in by_state], axis=1)
+        return both[: len(emit) - len(into)].sum(axis=0), moves, emitted
 
 
 def _gathered(batches, classes_at: int):
@@ -200,25 +218,25 @@ def _first_model(shares: np.ndarray, states: int, seed: int) -> Hmm:
     return Hmm(np.full(states, 1 / states), 0.9 * np.eye(states) + 0.1 / states, emit / emit.sum(axis=0))
 
 
-def baum_welch(chains: DataFrame, states: int = 8, rounds: int = 4, seed: int = 5) -> Hmm:
-    """Train on all rows of ``chains`` (classes). Tasks add up their expected counts, a shuffle adds up those of tasks.
+def baum_welch(chains: DataFrame, class_counts: np.ndarray, states: int = 8, rounds: int = 4, seed: int = 5) -> Hmm:
+    """Train on all rows of ``chains`` (classes), whose classes add up to ``class_counts``. Tasks add up their expected
+    counts, a shuffle adds up those of tasks.
 
     What comes back each round is a table of states x (states + classes) sums, whatever the corpus.
     """
     spark = chains.sparkSession
     ship(spark)
-    model = None
-    for _ in range(rounds + 1):
+    shares = class_counts + 1e-2
+    shares = shares / shares.sum()
+    model = _first_model(shares, states, seed)
+    for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
         def run(batches, sent=sent):
-            own: Hmm | None = sent.value
-            n = own.states if own else 1
+            own: Hmm = sent.value
+            n = own.states
             sums = [np.zeros(n), np.zeros((n, n)), np.zeros((CLASSES, n))]
             for _, classes, lengths in _gathered(batches, 0):
-                if own is None:
-                    sums[2][:, 0] += np.bincount(classes, minlength=CLASSES)
-                    continue
                 parts = -(-lengths // PART)
                 inner = np.full(parts.sum(), PART)
                 ends = np.cumsum(parts)
@@ -244,15 +262,9 @@ def baum_welch(chains: DataFrame, states: int = 8, rounds: int = 4, seed: int =
 
         sums = chains.select("classes").mapInArrow(run, "kind int, i int, j int, x double").groupBy("kind", "i", "j").agg(F.sum("x").alias("x")).toArrow()
         kind, i, j, x = (sums[k].to_numpy() for k in ("kind", "i", "j", "x"))
-        n = states if model else 1
-        emitted = np.zeros((CLASSES, n))
+        emitted = np.zeros((CLASSES, states))
         emitted[i[kind == 2], j[kind == 2]] = x[kind == 2]
-        shares = emitted.sum(axis=1) + 1e-2
-        shares /= shares.sum()
-        if model is None:
-            model = _first_model(shares, states, seed)
-            continue
-        first, moves = np.full(n, 0.1), np.full((n, n), 0.1)
+        first, moves = np.full(states, 0.1), np.full((states, states), 0.1)
         first[j[kind == 0]] += x[kind == 0]
         moves[i[kind == 1], j[kind == 1]] += x[kind == 1]
         emitted += shares[:, None]
@@ -279,7 +291,7 @@ def score(
     known = lexicon(counts)
     sent = spark.sparkContext.broadcast(known)  # at most FREQUENT tokens
     table = as_table(encoded(rows, sent).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    model = baum_welch(table.where(~F.col("held_out")), states, rounds)
+    model = baum_welch(table.where(~F.col("held_out")), known.class_counts, states, rounds)
     sent_model = spark.sparkContext.broadcast(model)  # of fixed size
 
     def forward(batches):
