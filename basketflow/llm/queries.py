@@ -37,7 +37,7 @@ def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(read(spark, folder, "documents"))))
+    return byte_bpe.digests(byte_bpe.encode(read(spark, folder, "documents"), decoded=True))
 
 
 def op4_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
