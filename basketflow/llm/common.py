@@ -113,14 +113,33 @@ def extend_texts(
     return docs.mapInArrow(run, schema)
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, longer if ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def told_apart(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` and the name of a column that tells its rows apart: the id, or where ids repeat or are missing, a further
+    column with a hash of id and text. Rows that agree in both are one."""
+    repeated = docs.groupBy(id_col).agg(F.count("*").alias("n")).where(F.col(id_col).isNull() | (F.col("n") > 1))
+    if repeated.isEmpty():
+        return docs, id_col
+    key = free_name(docs, "row")
+    return docs.withColumn(key, F.xxhash64(id_col, text_col)), key
+
+
 def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 2_000_000) -> DataFrame:
     """``docs`` but the rows whose id is in the one column of ``ids``; null ids stay.
 
     The ids are counted: up to ``broadcast_rows`` they are broadcast, and more are joined by a shuffle.
     """
-    ids = as_table(ids.toDF("__gone").where("__gone is not null").distinct(), "ids")
+    gone = free_name(docs, "gone")
+    ids = as_table(ids.toDF(gone).where(f"{gone} is not null").distinct(), "ids")
     aside = F.broadcast(ids) if ids.count() <= broadcast_rows else ids
-    return docs.join(aside, docs[id_col] == aside["__gone"], "left_anti")
+    return docs.join(aside, docs[id_col] == aside[gone], "left_anti")
 
 
 def arrow_types(schema: str) -> pa.Schema:

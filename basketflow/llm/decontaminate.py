@@ -182,7 +182,7 @@ def contaminated(docs: DataFrame, items: DataFrame, budget: float = BUDGET, id_c
     """
     ship(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col)
-    wanted = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id is not null and text is not null")
+    wanted = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
     blocks = -(-wanted.count() // ITEMS_AT_ONCE)
     found = None
     for block in range(max(blocks, 1)):

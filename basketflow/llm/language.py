@@ -3,18 +3,22 @@
 Each word is a node. Its features are hashed: affixes (two and three bytes at either end), inner three- and
 four-byte grams, and the whole word as lexicon entry. Transitions are learned too, on chains of several documents
 laid end to end, so that a chain may switch language. A text's language is the one with the largest mean marginal.
+
+Marginals only compare the learned languages with each other. Whether a text is in any of them is judged by how many of
+its letter sequences the learned texts have, of whichever language, against the share that more text of the same
+kind would have (Good and Turing: all but the part of sequences that only one text has).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.llm.chains import Steps
-from basketflow.llm.common import extend_texts, fold, id_and_text, map_texts
+from basketflow.llm.common import extend_texts, fold, free_name, id_and_text, map_texts
 from basketflow.shared import as_table
 
 UNDETERMINED = "und"
@@ -24,6 +28,12 @@ KINDS = 4
 FULL_SAMPLES, LEAST_SAMPLE = 64, 20
 #: The feature row that never has a weight.
 NOTHING = KINDS << BITS
+#: Slots for the letter sequences of the learned texts.
+SEQUENCE_BITS = 22
+#: Part of the letter sequences that a text must share with the learned texts, of the part that these share.
+LEAST_FAMILIAR = 0.4
+#: Sequences of learned texts that count as few.
+FEW_SEQUENCES = 1_000
 
 
 def _letters() -> np.ndarray:
@@ -46,6 +56,7 @@ class Words:
     sizes: np.ndarray
     grams: list[np.ndarray]  # a feature row for each byte of each word
     whole: list[np.ndarray]  # a feature row for each word
+    sequences: np.ndarray  # a slot for each byte of each word: it and its neighbours
 
     @property
     def begins(self) -> np.ndarray:
@@ -78,7 +89,9 @@ def words_of(texts: list[str]) -> Words:
     prefix = w[begins] | w[begins + 1] << np.uint64(8) | np.where(w[begins + 1] > 0, w[np.minimum(begins + 2, len(w) - 1)], 0).astype(np.uint64) << np.uint64(16)
     suffix = w[ends - 1] | w[ends - 2] << np.uint64(8) | np.where(w[ends - 2] > 0, w[ends - 3], 0).astype(np.uint64) << np.uint64(16) | np.uint64(1 << 30)
     grams = [_mixed(three, 0), np.where(four > 0, _mixed(four, 1), NOTHING)]
-    return Words(counts, sizes, grams, [_mixed(prefix, 2), _mixed(suffix, 2), _mixed(whole, 3)])
+    inner = np.where(four > 0, four | np.uint64(1 << 40), three)
+    sequences = (inner * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SEQUENCE_BITS)).astype(np.int64)
+    return Words(counts, sizes, grams, [_mixed(prefix, 2), _mixed(suffix, 2), _mixed(whole, 3)], sequences)
 
 
 def _sums(words: Words, weights: np.ndarray) -> np.ndarray:
@@ -98,6 +111,9 @@ class Crf:
     labels: list[str]
     weights: np.ndarray
     moves: np.ndarray
+    #: Which letter sequences the learned texts have, and how much of other texts of their kind these are.
+    seen: np.ndarray = field(default_factory=lambda: np.zeros(1 << SEQUENCE_BITS, dtype=bool))
+    usual: float = 1.0
 
     def marginals(self, words: Words, chains: np.ndarray) -> np.ndarray:
         """Probability of each label at each word, by forward-backward over the chains."""
@@ -117,21 +133,34 @@ class Crf:
         return self.judged(texts)[:2]
 
     def judged(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """As ``predict``, and how clear the words are: the mean of each word's largest marginal, whichever label has it."""
+        """As ``predict``, and how familiar the letters are: 1 for texts like the learned ones, 0 for other scripts."""
         words = words_of(texts)
         given = np.array([x > 0 and (any("a" <= c <= "z" for c in t[:200].lower()) or any(map(str.isalpha, t))) for x, t in zip(words.counts, texts, strict=True)])
-        shares, clear = np.full((len(texts), len(self.labels)), 0.0), np.zeros(len(texts))
+        shares, familiar = np.full((len(texts), len(self.labels)), 0.0), np.zeros(len(texts))
         if len(words.sizes):
             marginals = self.marginals(words, words.counts) * words.sizes[:, None]
             text = np.repeat(np.arange(len(texts)), words.counts)
             for k in range(len(self.labels)):
                 shares[:, k] = np.bincount(text, marginals[:, k], len(texts))
-            clear = np.bincount(text, marginals.max(axis=1), len(texts))
+            familiar = np.bincount(np.repeat(text, words.sizes), self.seen[words.sequences], len(texts))
         total = shares.sum(axis=1)
         best = shares.argmax(axis=1)
         score = np.where(given, shares.max(axis=1) / np.maximum(total, 1e-300), 0.0)
-        clear = np.where(given, clear / np.maximum(total, 1e-300), 0.0)
-        return [self.labels[k] if ok else UNDETERMINED for k, ok in zip(best, given, strict=True)], np.clip(score, 0, 1), np.clip(clear, 0, 1)
+        familiar = np.where(given, familiar / np.maximum(total * self.usual, 1e-300), 0.0)
+        return [self.labels[k] if ok else UNDETERMINED for k, ok in zip(best, given, strict=True)], np.clip(score, 0, 1), np.clip(familiar, 0, 1)
+
+
+def _sequences(texts: list[str]) -> tuple[np.ndarray, float]:
+    """Which slots the texts fill, and the part of a further text that is expected in them.
+
+    A text counts once for each sequence, however often it repeats it. With few texts hardly anything is expected, so that
+    nothing is foreign to them.
+    """
+    words = words_of(texts)
+    text = np.repeat(np.repeat(np.arange(len(texts)), words.counts), words.sizes)
+    slots = np.unique(text << SEQUENCE_BITS | words.sequences) & ((1 << SEQUENCE_BITS) - 1)
+    counts = np.bincount(slots, minlength=1 << SEQUENCE_BITS)
+    return counts > 0, max(len(slots) - int((counts == 1).sum()), 1) / (len(slots) + FEW_SEQUENCES)
 
 
 def train(
@@ -141,7 +170,7 @@ def train(
     labels = sorted(set(langs))
     index = {name: k for k, name in enumerate(labels)}
     size = (NOTHING + 1, len(labels))
-    crf = Crf(labels, np.zeros(size, np.float32), np.eye(len(labels)))
+    crf = Crf(labels, np.zeros(size, np.float32), np.eye(len(labels)), *_sequences(texts))
     squares, move_squares = np.full(size, 1e-2), np.full_like(crf.moves, 1e-2)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
@@ -204,7 +233,7 @@ def fit(docs: DataFrame, per_lang: int = 300, max_chars: int = 6_000, lang_col:
     keys = as_table(usable.select("lang", "at", aside).groupBy("lang", "at").agg(F.min("aside").alias("aside")), "keys")
     counts = keys.groupBy("lang", "aside").count().collect()  # two rows a language
     if not counts:
-        return Crf([UNDETERMINED], np.zeros((NOTHING + 1, 1), np.float32), np.zeros((1, 1)))
+        return Crf([UNDETERMINED], np.zeros((NOTHING + 1, 1), np.float32), np.zeros((1, 1)), *_sequences([]))
     langs = len({r["lang"] for r in counts})
     wanted = min(per_lang, max(LEAST_SAMPLE, per_lang * FULL_SAMPLES // langs))
     # hashes are uniform: so many of each group lie below its limit that the least `wanted` are among them
@@ -237,19 +266,23 @@ def identify(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str
     return map_texts(id_and_text(docs, id_col, text_col), run, "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Crf, least: float = 0.35, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in languages of the model: not ``und``, and words clear to ``least`` on average.
+def accepted(docs: DataFrame, model: Crf, least: float = LEAST_FAMILIAR, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in languages of the model: with letters, of which enough stand as in the learned texts.
 
-    Each word may be in another language, so that texts which switch between languages stay.
+    Each word may be in another language, so texts that switch between languages stay; other languages, other scripts
+    and strings of letters go. Null texts and texts without a letter go. A missing language is filled in. Rows that
+    repeat an id are judged each by its own text. The columns are those of ``docs``, whatever their names.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # as in identify
+    found, familiar = free_name(docs, "lang_found"), free_name(docs, "familiar")
 
     def run(texts):
-        langs, _, clear = sent.value.judged(texts)
-        return {"__lang": langs, "__clear": clear}
+        langs, _, shares = sent.value.judged(texts)
+        return {found: langs, familiar: shares}
 
-    marked = extend_texts(docs, run, "__lang string, __clear double", text_col)
-    return marked.where((F.col("__lang") != UNDETERMINED) & (F.col("__clear") >= least)).drop("__lang", "__clear")
+    marked = extend_texts(docs, run, f"{found} string, {familiar} double", text_col)
+    left = marked.where((F.col(found) != UNDETERMINED) & (F.col(familiar) >= least))
+    return left.select(*(F.coalesce(c, found).alias(c) if c == lang_col else F.col(f"`{c}`") for c in docs.columns))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

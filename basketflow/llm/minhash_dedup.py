@@ -12,6 +12,7 @@ texts. Their shingle sets are compared block by block, two blocks a task, and a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -19,26 +20,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import arrow_types, id_and_text, map_texts, ship
+from basketflow.llm.common import arrow_types, id_and_text, map_texts, ship, told_apart, without
 from basketflow.llm.graph import components, forest
 from basketflow.llm.words import mixed, odd, shingle_sets
 from basketflow.shared import as_table
 
 #: Minwise values that trees branch on, and further ones of which one byte is kept for estimates.
 COORDINATES, FURTHER = 64, 192
-TREES = 10
 #: Nodes of at most so many classes are compared at once; those of at most MIDDLE by blocks, from level BRANCHED on.
 SMALL, MIDDLE = 64, 16_384
 BRANCHED, LEVELS = 2, 12
 BLOCK = 512
-#: Links need 100 * intersection >= PERCENT * union.
-PERCENT = 85
-#: Coordinates that must agree before sets are compared; a pair at the threshold fails with probability below 1e-5.
-AGREE = 190
 BROADCAST_ROWS = 2_000_000
 
+
+@dataclass(frozen=True)
+class Threshold:
+    """Links need 100 * intersection >= ``percent`` * union.
+
+    A pair at the threshold meets in no tree, or agrees in fewer than ``agree`` coordinates, with a probability
+    below 1e-4 together.
+    """
+
+    percent: int
+    trees: int
+    agree: int
+
+    @property
+    def roots(self) -> np.ndarray:
+        return np.arange(self.trees) * (COORDINATES // self.trees)
+
+
+USUAL, CLOSE = Threshold(80, 13, 176), Threshold(85, 10, 190)
+
 _FACTORS = odd(COORDINATES + FURTHER, 17)
-_ROOTS = np.arange(TREES) * (COORDINATES // TREES)
 #: Bytes of the values of a class.
 _WIDE, _ALL = 4 * COORDINATES, 4 * COORDINATES + FURTHER
 
@@ -89,14 +104,14 @@ def _child(path: np.ndarray, coordinate: np.ndarray, value: np.ndarray) -> np.nd
     return mixed(path * np.uint64(0x9E3779B97F4A7C15) + (coordinate.astype(np.uint64) << np.uint64(40)) + value).view(np.int64)
 
 
-def _roots(classes: DataFrame) -> DataFrame:
+def _roots(classes: DataFrame, at: Threshold) -> DataFrame:
     """The first nodes: each tree starts at a coordinate of its own."""
     ship(classes.sparkSession)
 
     def run(batches):
         for batch in batches:
             minima = _wide(_rows(batch.column(1)))
-            for tree, coordinate in enumerate(_ROOTS):
+            for tree, coordinate in enumerate(at.roots):
                 path = np.full(len(minima), tree, dtype=np.uint64)
                 keys = _child(path, np.full(len(minima), coordinate), minima[:, coordinate])
                 yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0)], names=["node", "class"])
@@ -104,8 +119,8 @@ def _roots(classes: DataFrame) -> DataFrame:
     return classes.select("class", "minima").mapInArrow(run, "node long, class long")
 
 
-def _branched(rows: DataFrame) -> DataFrame:
-    """Children of nodes: one coordinate that the node's path chooses, and with probability 100/PERCENT - 1 a second."""
+def _branched(rows: DataFrame, limit: Threshold) -> DataFrame:
+    """Children of nodes: one coordinate that the node's path chooses, and with probability 100/percent - 1 a second."""
     ship(rows.sparkSession)
 
     def run(batches):
@@ -114,7 +129,7 @@ def _branched(rows: DataFrame) -> DataFrame:
             minima = _wide(_rows(batch.column(2)))
             for turn in (0, 1):
                 chosen = mixed(path + np.uint64(turn + 1))
-                go = np.arange(len(path)) if turn == 0 else np.flatnonzero(mixed(path + np.uint64(9)) % np.uint64(1000) < 1000 * (100 / PERCENT - 1))
+                go = np.arange(len(path)) if turn == 0 else np.flatnonzero(mixed(path + np.uint64(9)) % np.uint64(1000) < 1000 * (100 / limit.percent - 1))
                 at = (chosen[go] % np.uint64(COORDINATES)).astype(np.int64)
                 keys = _child(path[go], at, minima[go, at])
                 yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(1).take(pa.array(go))], names=["node", "class"])
@@ -135,18 +150,18 @@ def _stars(rows: DataFrame) -> DataFrame:
     return rows.where("class != pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
 
 
-def _similar(sizes_a, sizes_b, minima_a, minima_b) -> np.ndarray:
-    fits = 100 * np.minimum(sizes_a, sizes_b) >= PERCENT * np.maximum(sizes_a, sizes_b)
+def _similar(sizes_a, sizes_b, minima_a, minima_b, limit: Threshold) -> np.ndarray:
+    fits = 100 * np.minimum(sizes_a, sizes_b) >= limit.percent * np.maximum(sizes_a, sizes_b)
     near = np.flatnonzero(fits)
     for begin in range(0, len(near), 20_000):
         at = near[begin : begin + 20_000]
         a, b = minima_a[at], minima_b[at]
         same = (_wide(a) == _wide(b)).sum(axis=1) + (a[:, _WIDE:] == b[:, _WIDE:]).sum(axis=1)
-        fits[at] = same >= AGREE
+        fits[at] = same >= limit.agree
     return fits
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
     """Pairs (a, b) whose sizes and minwise values allow a link."""
     ship(pairs.sparkSession)
     both = pairs
@@ -155,13 +170,13 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            fits = _similar(batch.column(2).to_numpy(), batch.column(3).to_numpy(), _rows(batch.column(4)), _rows(batch.column(5)))
+            fits = _similar(batch.column(2).to_numpy(), batch.column(3).to_numpy(), _rows(batch.column(4)), _rows(batch.column(5)), limit)
             yield batch.select(["a", "b"]).filter(pa.array(fits))
 
     return both.select("a", "b", "n_a", "n_b", "m_a", "m_b").mapInArrow(run, "a long, b long")
 
 
-def _compared(rows: DataFrame) -> DataFrame:
+def _compared(rows: DataFrame, limit: Threshold) -> DataFrame:
     """Pairs of different components within small nodes whose sizes and minwise values allow a link.
 
     Rows arrive sorted by node; neighbours at growing distance are compared for many nodes at once.
@@ -176,7 +191,7 @@ def _compared(rows: DataFrame) -> DataFrame:
             if not len(same):
                 break
             i = same[group[same] != group[same + apart]]
-            i = i[_similar(sizes[i], sizes[i + apart], minima[i], minima[i + apart])]
+            i = i[_similar(sizes[i], sizes[i + apart], minima[i], minima[i + apart], limit)]
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[i + apart])], names=["a", "b"])
 
@@ -217,7 +232,7 @@ def _common(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total
 
 
-def _by_blocks(rows: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _by_blocks(rows: DataFrame, docs: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
     """A forest of links between components in nodes of any size: every two blocks of a node meet in a task of their own."""
     ship(rows.sparkSession)
     sets = _sets(rows.select("class").distinct(), docs, classes)
@@ -235,7 +250,7 @@ def _by_blocks(rows: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
         sets_of = table["shingles"].to_pylist()
         counts = np.array([len(x) // 8 for x in sets_of], dtype=np.int64)
         common = _common(np.frombuffer(b"".join(sets_of), dtype=np.uint64), counts)
-        linked = 100 * common >= PERCENT * (counts[:, None] + counts[None, :] - common)
+        linked = 100 * common >= limit.percent * (counts[:, None] + counts[None, :] - common)
         a, b = np.nonzero(np.triu(linked & (group[:, None] != group[None, :]), 1))
         child, root = forest(len(ids), a, b)
         return pa.Table.from_arrays([pa.array(ids[child]), pa.array(ids[root])], schema=schema)
@@ -265,7 +280,7 @@ def _sets(wanted: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     return as_table(found, "sets").dropDuplicates(["class"])
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, limit: Threshold) -> DataFrame:
     """The pairs that are links on their full shingle sets."""
     ship(pairs.sparkSession)
     sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), docs, classes)
@@ -278,45 +293,46 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
             for x, y in zip(a, b, strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 common = len(x) + len(y) - len(np.union1d(x, y))
-                fits.append(100 * common >= PERCENT * (len(x) + len(y) - common))
+                fits.append(100 * common >= limit.percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
     return both.mapInArrow(compare, "a long, b long")
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_documents(docs: DataFrame, limit: Threshold = USUAL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
 
-    Documents are linked if the Jaccard similarity of their five-word shingle sets is 0.85 or more; component_id is
+    Documents are linked if the Jaccard similarity of their five-word shingle sets reaches the limit's; component_id is
     the smallest id reachable, kept says that it is the row's own. Null and empty texts have no shingles and link
     with nothing. Rows with equal sets share a component, rows that repeat an id get a result each. A row with a
-    null id links nothing and is kept only if it equals no row with an id. A link at the threshold is missed with
-    probability below 1e-4; what is linked was confirmed on the full sets.
+    null id links nothing and is kept only if it equals no row with an id. What is linked was confirmed on the full sets.
+    A link at the threshold is missed with probability below 1e-4 if its texts meet in nodes of at most ``MIDDLE`` classes;
+    in groups of more texts that stay together down to the last level, with about 2 %, unless others connect them.
     """
     docs = id_and_text(docs, id_col, text_col)
     signed = as_table(sign(docs), "signed")
     classes = as_table(
         signed.where("n > 0 and doc_id is not null").groupBy("n", "f", "g").agg(F.min("doc_id").alias("class"), F.min("minima").alias("minima")), "classes"
     )
-    rows = as_table(_shared_nodes(_roots(classes), 0), "nodes")
-    links = as_table(_confirmed(as_table(_estimated(_stars(rows), classes), "pairs"), docs, classes), "links")
+    rows = as_table(_shared_nodes(_roots(classes, limit), 0), "nodes")
+    links = as_table(_confirmed(as_table(_estimated(_stars(rows), classes, limit), "pairs"), docs, classes, limit), "links")
     labels = as_table(components(links), "labels")
     more_links = []
     for level in range(LEVELS + 1):
         current = as_table(_mixed_nodes(rows, labels, classes), "mixed")
-        compared = _compared(current.where(F.col("size") <= SMALL))
+        compared = _compared(current.where(F.col("size") <= SMALL), limit)
         settled = MIDDLE if level < LEVELS else float("inf")
         in_blocks = current.where((F.col("size") > SMALL) & (F.col("size") <= settled) & F.lit(level >= BRANCHED))
         large = current.where((F.col("size") > (SMALL if level < BRANCHED else settled)))
         more = not large.isEmpty()
         if more:
-            rows = as_table(_shared_nodes(_branched(large), level + 1), "nodes")
-            compared = compared.unionAll(_estimated(_stars(rows), classes))
+            rows = as_table(_shared_nodes(_branched(large, limit), level + 1), "nodes")
+            compared = compared.unionAll(_estimated(_stars(rows), classes, limit))
         candidates = as_table(compared.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
         if not candidates.isEmpty():
-            more_links.append(as_table(_confirmed(candidates, docs, classes), "links"))
+            more_links.append(as_table(_confirmed(candidates, docs, classes, limit), "links"))
         if not in_blocks.isEmpty():
-            more_links.append(as_table(_by_blocks(in_blocks, docs, classes), "links"))
+            more_links.append(as_table(_by_blocks(in_blocks, docs, classes, limit), "links"))
         if not more:
             break
     if more_links:  # components of the stars only spared comparisons; these are those of all links
@@ -329,6 +345,26 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
+def one_of_each(docs: DataFrame, limit: Threshold = USUAL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group that links make, the row with the smallest id stays.
+
+    Rows are judged by their own texts, also where ids repeat or are missing: among rows with the same id the one with
+    the smallest hash of its text stays, and rows without an id stay where none of the group has one. Rows that agree in id
+    and text are one, of which one stays. Null and empty texts link with nothing.
+    """
+    keyed, key = told_apart(docs, id_col, text_col)
+    linked = link_documents(keyed, limit, key, text_col)
+    if key == id_col:
+        return without(docs, linked.where("not kept").select("doc_id"), id_col)
+    ids = keyed.select(F.col(key).alias("doc_id"), F.col(id_col).alias("id")).distinct()
+    first = linked.distinct().join(ids, "doc_id").groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "doc_id"))["doc_id"].alias("stays")
+    )
+    stays = as_table(first.select(F.col("stays").alias(key)), "stays")
+    once = as_table(keyed.join(stays, key, "left_semi").dropDuplicates([key]), "once")
+    return once.select(*docs.columns)
+
+
 def _mixed_nodes(rows: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows of nodes that hold more than one component, with component, set size and minwise values."""
     labelled = (

@@ -33,7 +33,7 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash_dedup.link_documents(read(spark, folder, "documents"))
+    return minhash_dedup.link_documents(read(spark, folder, "documents"), minhash_dedup.CLOSE)
 
 
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

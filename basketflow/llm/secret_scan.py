@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import extend_texts, id_and_text, map_texts
+from basketflow.llm.common import extend_texts, free_name, id_and_text, map_texts
 
 # The base patterns.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -200,17 +200,19 @@ def cleaned(docs: DataFrame, vocabulary_path: str | None = None, text_col: str =
     Null texts stay null, texts without secrets stay as they are.
     """
 
+    clean = free_name(docs, "clean")
+
     def run(texts):
         encoding = vocabulary(vocabulary_path)
         found = [spans(t, encoding) for t in texts]
-        return {"__clean": [redacted(t, x) if x else None for t, x in zip(texts, found, strict=True)]}
+        return {clean: [redacted(t, x) if x else None for t, x in zip(texts, found, strict=True)]}
 
-    marked = extend_texts(docs, run, "__clean string", text_col)
-    changed = F.col("__clean").isNotNull()
-    columns = {text_col: F.coalesce("__clean", text_col)}
+    marked = extend_texts(docs, run, f"{clean} string", text_col)
+    changed = F.col(clean).isNotNull()
+    columns = {text_col: F.coalesce(clean, text_col)}
     if length_col in docs.columns:
-        columns[length_col] = F.when(changed, F.length("__clean").cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
-    return marked.withColumns(columns).drop("__clean")
+        columns[length_col] = F.when(changed, F.length(clean).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return marked.withColumns(columns).drop(clean)
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -87,6 +87,29 @@ def test_texts_that_switch_between_languages_are_accepted(documents):
     assert [r["doc_id"] for r in language.accepted(documents([(1, mixed), (2, "12 34")]), model).collect()] == [1]
 
 
+#: Sentences in languages that the tables do not have, and letters at random.
+UNLEARNED = {
+    "fi": "Kissa nukkuu lämpimän uunin päällä ja näkee unta kaloista, kun lapset juoksevat pihalla ja äiti keittää kahvia keittiössä.",
+    "ru": "Кошка спит на тёплой печи и видит сны о рыбе, пока дети бегают во дворе, а мать варит кофе на кухне.",
+    "ja": "子供たちが庭で走り回り、母が台所でコーヒーをいれている間、猫は暖かい暖炉の上で魚の夢を見ています。",
+    "el": "Η γάτα κοιμάται πάνω στη ζεστή σόμπα και ονειρεύεται ψάρια, ενώ τα παιδιά τρέχουν στην αυλή.",
+}
+
+
+def test_unlearned_languages_and_letter_salad_are_rejected(spark, documents):
+    rng = random.Random(8)
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    model = language.fit(language.training_rows(docs))
+    salad = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz" + " " * 5, k=400)) for _ in range(4)]
+    held = [r["text"] for r in docs.where("pmod(crc32(cast(cast(doc_id as string) as binary)), 5) = 0 and n_chars > 100").collect()]
+    by_lang = {r["lang"]: r["text"] for r in docs.where("n_chars between 300 and 3000").collect()}
+    mixed = " ".join(t[:300] for t in by_lang.values())
+    familiar = model.judged([*UNLEARNED.values(), *salad, mixed, *held])[2]
+    assert (familiar[: len(UNLEARNED) + len(salad)] < language.LEAST_FAMILIAR).all(), familiar[:8]
+    assert familiar[len(UNLEARNED) + len(salad)] > 0.9
+    assert (familiar[len(UNLEARNED) + len(salad) + 1 :] >= language.LEAST_FAMILIAR).mean() > 0.99
+
+
 def test_switching_words_are_labelled_one_by_one():
     rng = random.Random(5)
     make = lambda letters, n: " ".join("".join(rng.choices(letters, k=4)) for _ in range(n))

@@ -8,7 +8,10 @@ from basketflow.llm import minhash_dedup
 from basketflow.llm.minhash_dedup import link_documents
 
 
-def brute_force(rows):
+LIMITS = {limit.percent: limit for limit in (minhash_dedup.USUAL, minhash_dedup.CLOSE)}
+
+
+def brute_force(rows, percent=80):
     sets = []
     for _, text in rows:
         w = (text or "").encode().lower().split()
@@ -23,7 +26,7 @@ def brute_force(rows):
     for a in range(len(rows)):
         for b in range(a):
             common = len(sets[a] & sets[b])
-            if sets[a] and rows[a][0] is not None and rows[b][0] is not None and 100 * common >= 85 * len(sets[a] | sets[b]):
+            if sets[a] and rows[a][0] is not None and rows[b][0] is not None and 100 * common >= percent * len(sets[a] | sets[b]):
                 parent[root(a)] = root(b)
     out = []
     for a, (i, _) in enumerate(rows):
@@ -49,21 +52,34 @@ def corpus(seed: int, groups: int = 12, passage: bool = True):
     return rows
 
 
+@pytest.mark.parametrize("percent", LIMITS)
 @pytest.mark.parametrize("seed", [1, 2])
-def test_equals_all_pairs(documents, seed):
+def test_equals_all_pairs(documents, seed, percent):
     rows = corpus(seed)
-    assert sorted(map(tuple, link_documents(documents(rows)).collect())) == sorted(brute_force(rows))
+    found = sorted(map(tuple, link_documents(documents(rows), LIMITS[percent]).collect()))
+    assert found == sorted(brute_force(rows, percent))
+
+
+def test_texts_between_the_limits(documents):
+    """Of 24 shingles four differ on either side: 20 of 24 are linked, from 0.8 on only."""
+    words = [f"w{k}" for k in range(54)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-5], *"abcde"]))]
+    assert 100 * 45 // 55 == 81
+    kept = {p: [r["kept"] for r in sorted(link_documents(documents(rows), limit).collect())] for p, limit in LIMITS.items()}
+    assert kept == {80: [True, False], 85: [True, True]}
 
 
+@pytest.mark.parametrize("percent", LIMITS)
 @pytest.mark.parametrize("middle", [4, 10_000])
-def test_large_nodes_equal_all_pairs(documents, monkeypatch, middle):
+def test_large_nodes_equal_all_pairs(documents, monkeypatch, middle, percent):
     """Small nodes of two classes and small blocks send rows through branching, stars and blocks."""
     monkeypatch.setattr(minhash_dedup, "SMALL", 2)
     monkeypatch.setattr(minhash_dedup, "MIDDLE", middle)
     monkeypatch.setattr(minhash_dedup, "LEVELS", 3)
     monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
     rows = corpus(3, groups=6)
-    assert sorted(map(tuple, link_documents(documents(rows)).collect())) == sorted(brute_force(rows))
+    found = sorted(map(tuple, link_documents(documents(rows), LIMITS[percent]).collect()))
+    assert found == sorted(brute_force(rows, percent))
 
 
 def test_odd_texts(documents, odd_texts):
@@ -73,5 +89,22 @@ def test_odd_texts(documents, odd_texts):
     assert (20, 4, 20, True) in got and (None, 4, 20, False) in got
 
 
+def test_one_of_each_group_by_id(documents):
+    rows = corpus(4, groups=6)
+    left = minhash_dedup.one_of_each(documents(rows))
+    assert left.columns == documents(rows).columns
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(i for i, *_, kept in brute_force(rows) if kept)
+
+
+def test_one_of_each_group_by_row(documents):
+    """Rows that share an id, or have none, are judged by their texts; which of them stay does not vary."""
+    one, two, three, four = (" ".join(f"{w}{k}" for k in range(30)) for w in "abcd")
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, four), (3, four), (None, four), (None, two + " end"), (None, "alone"), (5, None), (5, ""), (4, three)]
+    wanted = [(1, one), (2, two), (3, three), (3, four), (None, "alone"), (5, None), (5, "")]
+    for partitions in (1, 5):
+        left = minhash_dedup.one_of_each(documents(rows, partitions)).collect()
+        assert sorted(((r["doc_id"], r["text"]) for r in left), key=str) == sorted(wanted, key=str)
+
+
 def test_empty_table(documents):
     assert link_documents(documents([])).count() == 0

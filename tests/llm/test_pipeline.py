@@ -1,5 +1,7 @@
 """The pipeline against a replay of its stages by plain means."""
 
+import random
+
 import corpus_pipeline
 from basketflow.llm import language
 from basketflow.llm.byte_bpe import codec
@@ -16,15 +18,16 @@ def test_run_equals_plain_replay(spark):
     docs = read(spark, FOLDER, "documents")
     model = language.fit(language.training_rows(docs))
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
-    langs, scores = model.predict([t for _, t in rows])
-    rows = [r for r, lang, score in zip(rows, langs, scores, strict=True) if lang != "und" and score >= 0.35]
-    rows = [r for r, (*_, kept) in zip(rows, brute_force(rows), strict=True) if kept]
+    langs, _, familiar = model.judged([t for _, t in rows])
+    rows = [r for r, lang, share in zip(rows, langs, familiar, strict=True) if lang != "und" and share >= language.LEAST_FAMILIAR]
+    rows = [r for r, (*_, kept) in zip(rows, brute_force(rows, 80), strict=True) if kept]
     items = [normalised(r["text"]) for r in read(spark, FOLDER, "benchmark").collect()]
-    items = [t for t in items if len(t) >= LEAST_CHARS]
 
     def leaks(text):
         text = normalised(text)
-        return any(t in text or (len(text) < 3_000 and t[:30] in text and plain_distance(t, text) <= int(BUDGET * len(t))) for t in items)
+        if any(f" {t} " in f" {text} " for t in items if 0 < len(t) < LEAST_CHARS):
+            return True
+        return any(t in text or (len(text) < 3_000 and t[:30] in text and plain_distance(t, text) <= int(BUDGET * len(t))) for t in items if len(t) >= LEAST_CHARS)
 
     encoding = vocabulary()
     wanted = {}
@@ -47,6 +50,31 @@ def test_stages_take_odd_rows(spark, documents, odd_texts):
     assert last.count() == len(ids)
 
 
+def test_rows_that_share_an_id_keep_their_own_texts(spark, documents):
+    """Nothing of another text is lost, and the same rows stay each time."""
+    words = "the and of to in is that it for was on with as be by this are at from".split()
+    rng = random.Random(2)
+    one, two, three, four, five = (" ".join(rng.choices(words, k=60)) for _ in range(5))
+    item = read(spark, FOLDER, "benchmark").first()["text"]
+    rows = [(1, one), (2, one), (2, two), (3, three), (3, four), (3, f"{five} {item}"), (None, five), (None, f"{item} {five}")]
+    for partitions in (1, 4):
+        docs = documents(rows, partitions)
+        for _, stage in corpus_pipeline.STAGES[1:4]:
+            docs = stage(spark, docs, FOLDER)
+        left = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=str)
+        assert left == sorted([(1, one), (2, two), (3, three), (3, four), (None, five)], key=str)
+
+
+def test_language_stage_judges_rows_and_fills_in_languages(spark, documents):
+    docs = read(spark, FOLDER, "documents")
+    known = [(r["doc_id"], r["text"]) for r in docs.where("lang = 'en' and length(text) > 200").limit(20).collect()]
+    rows = [(i, t, None) for i, t in known] + [(known[0][0], "кошка спит на тёплой печи и видит сны"), (None, known[1][1])]
+    model = language.fit(language.training_rows(docs))
+    left = language.accepted(documents(rows), model).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=str) == sorted([*known, (None, known[1][1])], key=str)
+    assert all(r["lang"] is not None for r in left)
+
+
 def test_stages_take_empty_tables(spark, documents):
     docs = documents([])
     for _, stage in corpus_pipeline.STAGES:
