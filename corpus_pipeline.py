@@ -7,42 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.llm import byte_bpe, decontaminate, language, minhash_dedup, secret_scan
-from basketflow.llm.common import read, without
+from basketflow.llm.common import read, told_apart, without
 from basketflow.shared import as_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are in one of the languages of the corpus; those without letters or of no clear language go."""
+    """Documents in the languages of the corpus, mixed ones too; those without letters, in other languages or of random
+    letters go. A missing language is filled in. Null texts go; rows that repeat an id are judged each by its text."""
     return language.accepted(docs, language.fit(language.training_rows(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id; rows with a null id stay."""
-    gone = minhash_dedup.link_documents(docs).where("not kept").select("doc_id")
-    left = without(docs, gone)
-    again = as_table(left.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
-    if again.isEmpty():
-        return left
-    once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return without(left, again).unionByName(once)
+    """One document of each group of near duplicates (similarity of 0.8 or more), the one with the smallest id.
+
+    Rows that repeat an id or have none are judged each by its text; of those that agree in id and text one stays.
+    """
+    return minhash_dedup.one_of_each(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark within the budget of edits."""
-    return without(docs, decontaminate.contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id"))
+    """Documents that hold no item of the benchmark within the budget of edits.
+
+    Null texts hold none. Rows that repeat an id or have none are judged each by its text.
+    """
+    keyed, key = told_apart(docs)
+    found = decontaminate.contaminated(keyed, read(spark, sf_dir, "benchmark"), id_col=key)
+    return without(keyed, found.select("doc_id"), key).select(*docs.columns)
 
 
 def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets cut out of the texts."""
+    """All documents, with secrets cut out of the texts, row by row; null texts stay null."""
     return secret_scan.cleaned(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the digests that show that they decode to its text.
 
-    The same worker encodes and decodes, so that a task holds one vocabulary.
+    The same worker encodes and decodes, so that a task holds one vocabulary. Null texts have no ids; every row has a
+    result, also those that repeat an id or have none.
     """
     return byte_bpe.digests(byte_bpe.encode(docs, decoded=True), "ids")
 
