@@ -264,13 +264,20 @@ def with_past(
     busy users, if there are that many, are told from quiet ones by a join on the user, which the windows of the
     quiet ones go on from; none of them has more than its share of the rows divided by that number.
     """
+    few, many = set_apart(keyed, max_user_rows)
+    quiet = of_quiet(few, window_days, users)
+    return quiet if many is None else quiet.unionByName(of_busy(many, window_days, max_group_rows, users))
+
+
+def set_apart(keyed: DataFrame, max_user_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of quiet users, and those of busy ones or None if there are none; see :func:`with_past`."""
     sizes = keyed.groupBy("user_key").agg(F.count("*").alias("n"), F.max(F.abs("amount")).alias("largest"))
     # NaN is more than any number
     large = F.coalesce(F.col("largest") * UNITS * max(max_user_rows, 1) > MAX_UNITS, F.lit(False))
     busy = as_table(sizes.where((F.col("n") > max_user_rows) | large).drop("largest"), "busy_users")
     count = busy.count()
     if count == 0:
-        return _of_quiet(keyed, window_days, users)
+        return keyed, None
     largest, names = busy.select("user_key"), busy.select("user_key")
     if count > MAX_BROADCAST_ROWS:
         largest = as_table(busy.orderBy(F.desc("n"), "user_key").limit(MAX_BROADCAST_ROWS).select("user_key"), "largest")
@@ -280,16 +287,16 @@ def with_past(
         names = names.hint("merge")  # keeps the partitioning by user for the windows
         many = many.unionByName(few.join(names, "user_key", "left_semi"))
         few = few.join(names, "user_key", "left_anti")
-    return _of_quiet(few, window_days, users).unionByName(_of_busy(many, window_days, max_group_rows, users))
+    return few, many
 
 
-def _of_quiet(keyed: DataFrame, window_days: int, users: DataFrame | None) -> DataFrame:
+def of_quiet(keyed: DataFrame, window_days: int, users: DataFrame | None) -> DataFrame:
     """The users' attributes are joined by the key the windows are partitioned by: no second shuffle."""
     past = past_by_user(keyed, window_days)
     return past if users is None else past.join(users, "user_key", "left")
 
 
-def _of_busy(keyed: DataFrame, window_days: int, max_group_rows: int, users: DataFrame | None) -> DataFrame:
+def of_busy(keyed: DataFrame, window_days: int, max_group_rows: int, users: DataFrame | None) -> DataFrame:
     past = past_by_day(keyed, window_days, max_group_rows)
     return past if users is None else keyed_lookup(past, users, "user_key")
 
@@ -310,11 +317,16 @@ def with_history(
     """
     attached = [] if users is None else [name for name in users.columns if name != "user_id"]
     if users is not None:
-        users = users.where(F.col("user_id").isNotNull()).select(_user_key().alias("user_key"), *attached)
+        users = keyed_users(users, attached)
     past = with_past(with_user_second(transactions), scoring.window_days, max_user_rows, max_group_rows, users)
     return history_columns(past, [*transactions.columns], scoring, attached)
 
 
+def keyed_users(users: DataFrame, attached: list[str]) -> DataFrame:
+    """Users by the key of their transactions."""
+    return users.where(F.col("user_id").isNotNull()).select(_user_key().alias("user_key"), *attached)
+
+
 def history_columns(past: DataFrame, own: list[str], scoring: Scoring, attached: list[str] | None = None) -> DataFrame:
     """The columns of :func:`with_history` from what lies before each row."""
     now, before = _dated(F.col("event_sec")), F.col("previous_sec")

@@ -1,6 +1,6 @@
 """From valid tables to one wide row per valid transaction."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.functions.calendar import require_utc, with_time_features, with_transaction_date
@@ -8,6 +8,7 @@ from basketflow.functions.labels import age_group
 from basketflow.operators.history import with_history
 from basketflow.operators.joins import broadcast_if_small, lookup
 from basketflow.operators.suspicion import with_score
+from basketflow.operators.user_layout import UserLayout
 from basketflow.schemas import ENRICHED_COLUMNS, MERCHANT_ATTRIBUTES, PRODUCT_ATTRIBUTES, USER_ATTRIBUTES
 from basketflow.settings import Scoring
 
@@ -62,13 +63,39 @@ def wide_transactions(
     # Shuffles come first and widest last: the history moves the transaction's own columns only, users meet it
     # where it is partitioned by user, and whatever one row can compute by itself (calendar, score) is added after
     # the last join.
-    of_user = users.select("user_id", *(F.col(source).alias(output) for source, output in USER_ATTRIBUTES))
-    history = _with_history(transactions, scoring, broadcast_if_small(of_user, broadcast, rows=known.get("users")))
+    of_user = broadcast_if_small(attributes_of(users), broadcast, rows=known.get("users"))
+    return _finished(_with_history(transactions, scoring, of_user), products, merchants, scoring, known)
+
+
+def attributes_of(users: DataFrame) -> DataFrame:
+    """Users' key and attributes under the names of the output."""
+    return users.select("user_id", *(F.col(source).alias(output) for source, output in USER_ATTRIBUTES))
+
+
+def _finished(history: DataFrame, products: DataFrame, merchants: DataFrame, scoring: Scoring, known: dict[str, int]) -> DataFrame:
     facts = with_product(history.withColumn("age_group", age_group(F.col("age"))), products, known.get("products"))
     joined = with_merchant(facts, merchants, known.get("merchants"))
     return with_score(with_time_features(joined), scoring)
 
 
+def store_by_user(spark: SparkSession, path: str, transactions: DataFrame, users: DataFrame, **bounds: int) -> UserLayout:
+    """Store valid transactions and users by user; ``bounds`` are those of :meth:`UserLayout.write`."""
+    require_utc(spark)
+    return UserLayout.write(spark, path, with_transaction_date(transactions), attributes_of(users), **bounds)
+
+
+def wide_of_layout(
+    layout: UserLayout,
+    products: DataFrame,
+    merchants: DataFrame,
+    scoring: Scoring = Scoring(),
+    broadcast: bool = False,
+    rows: dict[str, int] | None = None,
+) -> DataFrame:
+    """The wide rows from transactions and users that :func:`store_by_user` has stored."""
+    return _finished(layout.history(scoring, broadcast), products, merchants, scoring, rows or {})
+
+
 def wide_of_history(
     history: DataFrame,
     users: DataFrame,

@@ -257,9 +257,10 @@ _BODIES = {
         panier_moyen_user, ecart_panier_moyen_pct, day_period, delai_precedente_minutes, payment_method,
         cond_montant, cond_night, cond_delai, cond_crypto, nb_conditions, is_suspicious
         from scored where is_suspicious = 1""",
-    **{name: f"select transaction_id, {_HISTORY} from scored" for name in ("history_by_day", "history_mixed", "history_two_loads")},
+    **{name: f"select transaction_id, {_HISTORY} from scored" for name in ("history_by_day", "history_mixed", "history_two_loads", "history_by_layout")},
     "enriched_transactions": f"select {_ENRICHED} from scored",
     "enriched_two_loads": f"select {_ENRICHED} from scored",
+    "enriched_by_layout": f"select {_ENRICHED} from scored",
     "pipeline_enriched": f"select {_ENRICHED} from scored",
     "pipeline_other_thresholds": f"select {_ENRICHED} from scored",
     "pipeline_report": _REPORT,

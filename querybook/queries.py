@@ -18,11 +18,14 @@ from basketflow.operators.joins import duplicate_keys, lookup, orphan_counts
 from basketflow.operators.merchant_store import MerchantStore
 from basketflow.operators.quality import quality_report, table_counts
 from basketflow.operators.suspicion import suspicious_transactions, with_score
+from basketflow.operators.user_layout import UserLayout
 from basketflow.operators.validation import REASON, rejected_rows, tagged_rows, valid_rows
 from basketflow.plans.enrichment import (
     enriched,
     scored_transactions,
+    store_by_user,
     wide_of_history,
+    wide_of_layout,
     wide_transactions,
     with_dimensions,
     with_merchant,
@@ -309,6 +312,26 @@ def enriched_two_loads(spark, folder):
     return enriched(wide_of_history(_two_loads(spark, folder), **dimensions))
 
 
+def _layout(spark: SparkSession, folder: str, **bounds: int) -> UserLayout:
+    """Valid transactions and users stored by user, opened anew as a later session would."""
+    path = new_path(spark, "by_user")
+    store_by_user(spark, path, _valid(spark, folder, "transactions"), _valid(spark, folder, "users"), **bounds).close()
+    return UserLayout.open(spark, path)
+
+
+@query("history_by_layout")
+def history_by_layout(spark, folder):
+    """With a bound that puts part of the users into the table of busy ones."""
+    history = _layout(spark, folder, max_user_rows=50).history()
+    return with_score(with_time_features(history)).select("transaction_id", *HISTORY)
+
+
+@query("enriched_by_layout")
+def enriched_by_layout(spark, folder):
+    products, merchants = _valid(spark, folder, "products"), _valid(spark, folder, "merchants")
+    return enriched(wide_of_layout(_layout(spark, folder), products, merchants))
+
+
 QUERIES["enriched_transactions"] = lambda spark, folder: enriched(_wide(spark, folder))
 
 
