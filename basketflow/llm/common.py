@@ -142,5 +142,11 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_r
     return docs.join(aside, docs[id_col] == aside[gone], "left_anti")
 
 
+def stretch(text: str, chars: int, place: Column) -> Column:
+    """A text of up to ``chars`` characters as it is; of a longer one so many, from where the hash ``place`` says."""
+    last = F.greatest(F.length(text) - chars, F.lit(0))
+    return F.substring(text, (F.pmod(place, last + 1) + 1).cast("int"), F.lit(chars))
+
+
 def arrow_types(schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.llm.chains import Steps
-from basketflow.llm.common import extend_texts, fold, free_name, id_and_text, map_texts
+from basketflow.llm.common import extend_texts, fold, free_name, id_and_text, map_texts, stretch
 from basketflow.shared import as_table
 
 UNDETERMINED = "und"
@@ -220,33 +220,32 @@ def _step(crf: Crf, words: Words, truth: np.ndarray, chains: np.ndarray, squares
 
 
 def fit(docs: DataFrame, per_lang: int = 300, max_chars: int = 6_000, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Crf:
-    """Train on ``per_lang`` documents of every language, drawn by a hash of id among texts of 20 to ``max_chars`` characters.
+    """Train on ``per_lang`` documents of every language, drawn by a hash of id and text among texts of any length.
 
-    A language with fewer such texts also learns from its shorter texts and from the beginnings of longer ones. Every
+    A text of over ``max_chars`` characters gives so many of them, from a place that the hash chooses. Every
     label with a text that is not empty is learned. With more than ``FULL_SAMPLES`` languages each gets fewer
     documents, but ``LEAST_SAMPLE`` in any case; equal rows count once. The driver gets at most that many texts of
     ``max_chars`` characters, and holds 3 MB of weights a language.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     usable = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("at", F.xxhash64("doc_id", "text"))
-    aside = (~F.length("text").between(20, max_chars)).alias("aside")
-    keys = as_table(usable.select("lang", "at", aside).groupBy("lang", "at").agg(F.min("aside").alias("aside")), "keys")
-    counts = keys.groupBy("lang", "aside").count().collect()  # two rows a language
+    keys = as_table(usable.select("lang", "at").distinct(), "keys")
+    counts = keys.groupBy("lang").count().collect()
     if not counts:
         return Crf([UNDETERMINED], np.zeros((NOTHING + 1, 1), np.float32), np.zeros((1, 1)), *_sequences([]))
-    langs = len({r["lang"] for r in counts})
-    wanted = min(per_lang, max(LEAST_SAMPLE, per_lang * FULL_SAMPLES // langs))
-    # hashes are uniform: so many of each group lie below its limit that the least `wanted` are among them
-    limits = [(r["lang"], r["aside"], min(2**63 - 1, int(2**64 * (2 * wanted + 50) / r["count"]) - 2**63)) for r in counts]
-    low = F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, aside boolean, high long"))
-    found = sorted((r["lang"], r["aside"], r["at"]) for r in keys.join(low, ["lang", "aside"]).where("at <= high").select("lang", "aside", "at").collect())
+    wanted = min(per_lang, max(LEAST_SAMPLE, per_lang * FULL_SAMPLES // len(counts)))
+    # hashes are uniform: so many of each language lie below its limit that the least `wanted` are among them
+    limits = [(r["lang"], min(2**63 - 1, int(2**64 * (2 * wanted + 50) / r["count"]) - 2**63)) for r in counts]
+    low = F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, high long"))
+    found = sorted((r["lang"], r["at"]) for r in keys.join(low, "lang").where("at <= high").select("lang", "at").collect())
     chosen: dict[str, list[int]] = {}
-    for lang, _, at in found:
+    for lang, at in found:
         own = chosen.setdefault(lang, [])
         if len(own) < wanted:
             own.append(at)
     picked = docs.sparkSession.createDataFrame([(lang, at) for lang, own in chosen.items() for at in own], "lang string, at long")
-    drawn = usable.join(F.broadcast(picked), ["lang", "at"]).select("lang", "at", F.substring("text", 1, max_chars).alias("text")).dropDuplicates(["lang", "at"])
+    piece = stretch("text", max_chars, F.xxhash64("at")).alias("text")
+    drawn = usable.join(F.broadcast(picked), ["lang", "at"]).select("lang", "at", piece).dropDuplicates(["lang", "at"])
     sample = sorted((r["lang"], r["text"]) for r in drawn.collect())
     return train([t for _, t in sample], [name for name, _ in sample])
 

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import fold, id_and_text, map_texts
+from basketflow.llm.common import fold, id_and_text, map_texts, stretch
 
 DICTIONARY_BYTES = 110_000
 LEVEL = 3
@@ -103,9 +103,11 @@ def train(texts: list[str], labels: list[int], dictionary_share: float = 0.35) -
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 7_000, max_chars: int = 20_000) -> CompressionModel:
-    """Train on at most ``sample`` labelled documents of at most ``max_chars`` characters, drawn by a hash of the id.
+    """Train on at most ``sample`` labelled documents drawn by a hash of the id, of any length.
 
-    That bounds what reaches the driver. ``labels`` has doc_id and quality (0 or 1); other values are left out.
+    That bounds what reaches the driver, as a text of over ``max_chars`` characters gives so many of them, from a place
+    that the hash chooses. Null texts count as empty. Of rows that repeat an id the text first by order is taken, of
+    labels that do the larger one. ``labels`` has doc_id and quality (0 or 1); other values are left out.
     """
     drawn = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -115,8 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 7_000, max_chars: int
         .orderBy("at", "doc_id")
         .limit(sample)
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text").between(1, max_chars))
-    rows = texts.join(F.broadcast(drawn), "doc_id").collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "at", "quality", stretch("text", max_chars, F.col("at")).alias("text"))
+    rows = found.groupBy("doc_id", "at", "quality").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["at"], r["text"]))
     return train([r["text"] for r in rows], [r["quality"] for r in rows])
 

@@ -1,11 +1,13 @@
 """Quality and language models on held-out documents, and their defined answers for odd ones."""
 
+import math
 import random
 import zlib
 from itertools import product
 
 import numpy as np
 import pytest
+import zstandard
 
 from basketflow.llm import language, quality
 from basketflow.llm.common import read
@@ -44,6 +46,56 @@ def test_quality_of_odd_texts(spark, documents, odd_texts):
     assert quality.op9_quality(documents([]), labels).count() == 0
 
 
+def test_quality_scores_equal_a_plain_scorer(spark):
+    """Every text by itself, with compressors of its own and the sums written out."""
+    docs, labels = read(spark, FOLDER, "documents"), read(spark, FOLDER, "labels")
+    model = quality.fit(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    for r in docs.collect():
+        raw, sizes = (r["text"] or "").encode(), []
+        for content in (model.good, model.bad):
+            sizes.append(len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(content), write_content_size=False, write_dict_id=False).compress(raw)))
+        n, (a, b) = max(len(raw), 1), sizes
+        x = [(b - a) / n, (b - a) / max(a, b), a / n, b / n, math.log(1 + len(raw))]
+        terms = [1.0, *x, *(x[i] * x[j] for i in range(5) for j in range(i, 5))]
+        total = sum(w * (t - c) / s for w, t, c, s in zip(model.weights, terms, model.centre, model.spread, strict=True))
+        assert got[r["doc_id"]] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, total)))), abs=1e-9)
+
+
+def test_long_and_empty_labelled_texts_are_learned(spark, documents):
+    """Labels of long texts only, of which the beginnings are alike."""
+    rng = random.Random(6)
+    make = lambda words, n: " ".join(rng.choices(words, k=n))
+    good, bad = ["river", "valley", "meadow", "forest", "winter"], ["klick", "bonus", "gratis", "casino", "jackpot"]
+    rows = [(i, "same words at first " * 20 + make(good if i % 2 else bad, 400)) for i in range(120)]
+    rows += [(200, ""), (201, None), (1, rows[1][1])]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)] + [(200, 0), (201, 0)], "doc_id long, quality int")
+    model = quality.fit(documents(rows), labels, max_chars=1_000)
+    scores = model.score([make(good, 300), make(bad, 300)])
+    assert scores[0] > 0.5 > scores[1]
+
+
+def test_language_by_query_equals_all_paths(documents):
+    """Each short text's language and score, by adding up the labels of its words over all paths."""
+    rng = random.Random(9)
+    letters = {"aa": "abcde", "ff": "cdefg", "zz": "efghi"}
+    rows = [(i, " ".join("".join(rng.choices(letters[x], k=3)) for _ in range(rng.randrange(1, 6))), x) for i, x in enumerate([*letters] * 40)]
+    docs = documents(rows)
+    model = language.fit(language.training_rows(docs))
+    got = {r["doc_id"]: r for r in language.op10_language_id(docs).collect()}
+    n = len(model.labels)
+    for i, text, _ in rows:
+        words = language.words_of([text])
+        scores = language._sums(words, model.weights)
+        shares = np.zeros(n)
+        for path in product(range(n), repeat=len(scores)):
+            weight = math.exp(sum(scores[k, y] for k, y in enumerate(path)) + sum(model.moves[a, b] for a, b in zip(path, path[1:], strict=False)))
+            for k, y in enumerate(path):
+                shares[y] += weight * words.sizes[k]
+        shares /= shares.sum()
+        assert got[i]["lang_pred"] == model.labels[shares.argmax()] and got[i]["score"] == pytest.approx(shares.max(), abs=1e-6)
+
+
 def test_language_of_held_out_documents(spark):
     docs = read(spark, FOLDER, "documents")
     truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
